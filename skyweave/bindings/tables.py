@@ -9,6 +9,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from skyweave.functions.normalise import rounded
+
 GAP_SECONDS = 43_200
 MIN_LEG_SECONDS = 3_600
 RADIUS_NM = 100.0
@@ -123,7 +125,7 @@ def fuel_prices(orders: DataFrame) -> DataFrame:
     return orders.groupBy(
         F.date_format("o_orderdate", "yyyy-MM-dd").alias("period"), F.col("o_orderpriority").alias("series")
     ).agg(
-        F.round(F.avg("o_totalprice") / 100000, 4).alias("price"),
+        rounded(F.avg("o_totalprice") / 100000, 4).alias("price"),
         F.lit("$/GAL").alias("units"),
     )
 
@@ -158,7 +160,7 @@ def orbital_elements(lineitem: DataFrame) -> DataFrame:
         "concat('OBJ ', l_partkey) AS object_name",
         "concat(2000 + l_partkey % 25, '-', lpad(CAST(l_partkey % 100 AS STRING), 3, '0')) AS launch_designator",
         "1 + l_quantity / 10 AS mean_motion",
-        "round(1440 / (1 + l_quantity / 10), 3) AS period_minutes",
+        "round(1440 / (1 + l_quantity / 10) * 1000) / 1000 AS period_minutes",
         "l_discount AS bstar",
         "l_tax AS inclination",
     )

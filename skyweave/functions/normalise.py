@@ -135,7 +135,7 @@ def launch_year(object_id: Column) -> Column:
 
 
 def orbital_period(mean_motion: Column) -> Column:
-    return F.round(F.lit(MINUTES_PER_DAY) / F.nullif(mean_motion, F.lit(0.0)), 3)
+    return rounded(F.lit(MINUTES_PER_DAY) / F.nullif(mean_motion, F.lit(0.0)), 3)
 
 
 def composed_id(*parts: Column) -> Column:
@@ -220,6 +220,15 @@ def truthy_or_null(v: Column) -> Column:
     return F.when(v.isNotNull() & (kind(v) != "VOID"), truthy(v))
 
 
+def rounded(c: Column, digits: int) -> Column:
+    """Round half away from zero on the binary value, the way SQL engines working on doubles do.
+
+    ``F.round`` works on the shortest decimal text of a double instead, and so lifts 10.075 (stored a
+    little below) to 10.08.
+    """
+    return F.round(c * float(10**digits)) / float(10**digits)
+
+
 def utc(seconds: Column) -> Column:
     """Epoch seconds as a zone-free UTC timestamp."""
     return F.timestamp_seconds(seconds).cast("timestamp_ntz")

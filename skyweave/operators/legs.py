@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from skyweave.functions.geo import great_circle_nm
-from skyweave.functions.normalise import blank_to_null
+from skyweave.functions.normalise import blank_to_null, rounded
 from skyweave.operators.nearest import nearest_within
 from skyweave.operators.segments import (
     DEFAULT_CHUNK_SECONDS,
@@ -132,9 +132,9 @@ def legs_from_pieces(
         .withColumn("leg_id", F.concat_ws("-", "hex", "start_time"))
         .withColumn("complete", F.col("dep_observed") & F.col("arr_observed"))
         .withColumn("direct", direct)
-        .withColumn("track_distance_nm", F.round("flown", 2))
-        .withColumn("direct_distance_nm", F.round("direct", 2))
-        .withColumn("track_efficiency", F.when(F.col("direct") > 1, F.round(F.col("flown") / F.col("direct"), 3)))
+        .withColumn("track_distance_nm", rounded(F.col("flown"), 2))
+        .withColumn("direct_distance_nm", rounded(F.col("direct"), 2))
+        .withColumn("track_efficiency", F.when(F.col("direct") > 1, rounded(F.col("flown") / F.col("direct"), 3)))
     )
     if airports is None:
         nowhere = F.lit(None).cast("string")
@@ -186,4 +186,4 @@ def track_distance(
 ) -> DataFrame:
     """Distance flown per segment, fix to fix; fixes without coordinates are bridged over."""
     whole = segments_from_pieces(leg_pieces(positions, gap_seconds, chunk_seconds, tie), gap_seconds)
-    return whole.select("hex", "seg", "fix_count", F.round("flown", 2).alias("track_distance_nm"))
+    return whole.select("hex", "seg", "fix_count", rounded(F.col("flown"), 2).alias("track_distance_nm"))
