@@ -307,3 +307,388 @@ SELECT l_orderkey, l_linenumber, l_partkey, l_suppkey, l_quantity FROM (
 
 ORACLES["union_by_name"] = """
 SELECT event_id, CAST(user_id AS VARCHAR) AS hex, CASE WHEN event_id % 2 = 1 THEN event_type END AS squawk FROM events"""
+
+# ---- parse jobs: the source rows, as the payloads were built from them ---------------------------
+
+BASE = 1704067200
+
+
+def nulls(*columns: str) -> str:
+    """Columns a payload does not carry, as typed nulls."""
+    kinds = {"s": "VARCHAR", "i": "INTEGER", "l": "BIGINT", "d": "DOUBLE", "b": "BOOLEAN"}
+    return ", ".join(f"CAST(NULL AS {kinds[c.split(':')[1]]}) AS \"{c.split(':')[0]}\"" for c in columns)
+
+
+ORACLES["parse_positions"] = f"""
+SELECT 'a' || user_id AS hex, {BASE} + (event_id // 200) * 60 AS snapshot_time, 'H' || ((event_id // 200) % 3) AS hub, 'feed' AS source,
+       CASE WHEN event_id % 7 <> 0 THEN 'C' || (user_id % 20) END AS callsign, 'N' || user_id AS registration, 'T' || (user_id % 6) AS aircraft_type,
+       30e0 + (event_id * 37 % 1000) / 50e0 AS latitude, CAST(-120 + event_id % 50 AS DOUBLE) AS longitude,
+       CASE WHEN event_type NOT IN ('signup', 'error') THEN CAST(floor(value * 60) AS INTEGER) END AS alt_baro, event_type = 'signup' AS on_ground,
+       value AS ground_speed, CASE WHEN event_id % 97 = 0 THEN '7700' ELSE '1200' END AS squawk,
+       CASE WHEN event_id % 97 = 0 THEN 'emergency' WHEN event_id % 3 = 0 THEN NULL WHEN event_id % 31 = 0 THEN 'minfuel' END AS emergency,
+       CAST(event_id AS INTEGER) AS messages, event_id % 2 = 0 AS mlat,
+       {nulls('category:s', 'alt_geom:i', 'track:d', 'baro_rate:i', 'geom_rate:i', 'nav_altitude_mcp:i', 'nav_qnh:d', 'distance_nm:d', 'bearing_deg:d', 'rssi:d', 'seen_pos:d')}
+FROM events"""
+
+ORACLES["parse_states"] = """
+WITH s AS (SELECT *, event_id % 10 = 0 AS short FROM events)
+SELECT CAST(event_id AS VARCHAR) AS icao24, CASE WHEN short THEN 'C' ELSE 'C' || user_id END AS callsign,
+       CASE WHEN NOT short THEN 'XX' END AS origin_country, CASE WHEN NOT short THEN event_id END AS time_position,
+       CASE WHEN NOT short THEN event_id + 1 END AS last_contact, CASE WHEN NOT short THEN value END AS longitude,
+       CASE WHEN NOT short THEN value / 2 END AS latitude, CASE WHEN NOT short THEN CAST(user_id AS DOUBLE) END AS baro_altitude,
+       CASE WHEN NOT short THEN event_type = 'signup' END AS on_ground, CASE WHEN NOT short THEN value END AS velocity,
+       CAST(NULL AS DOUBLE) AS true_track, CASE WHEN NOT short THEN 1e0 END AS vertical_rate,
+       CASE WHEN NOT short THEN CAST(user_id AS DOUBLE) END AS geo_altitude, CASE WHEN NOT short THEN '1200' END AS squawk,
+       CASE WHEN NOT short THEN false END AS spi, CASE WHEN NOT short THEN CAST(0 AS INTEGER) END AS position_source,
+       event_id // 200 AS snapshot_time, (event_id // 200) % 2 = 0 AS authenticated, CASE WHEN NOT short THEN CAST(3 AS INTEGER) END AS sensor_count
+FROM s"""
+
+CEIL = """CAST(least(CASE WHEN event_id % 4 <> 0 THEN event_id * 7 % 80 * 100 END, CASE WHEN event_id % 5 = 0 THEN 2500 END) AS INTEGER)"""
+VISIB = "CASE event_id % 3 WHEN 0 THEN 10e0 WHEN 1 THEN value / 50 END"
+WDIR = "CASE WHEN event_id % 6 <> 0 THEN CAST(event_id % 360 AS INTEGER) END"
+
+ORACLES["parse_metar"] = f"""
+SELECT 'K' || (user_id % 20) AS station, CAST(floor(epoch(ts)) AS BIGINT) AS obs_time, value AS latitude, CAST(user_id AS INTEGER) AS elevation_m,
+       'VFR' AS flight_category, value / 10 AS temp_c, {WDIR} AS wind_dir_deg, CAST(event_id % 40 AS INTEGER) AS wind_speed_kt,
+       {VISIB} AS visibility_sm, {CEIL} AS ceiling_ft, event_type AS raw,
+       {nulls('report_time:s', 'name:s', 'longitude:d', 'dewpoint_c:d', 'wind_gust_kt:i', 'altimeter_hpa:d', 'sea_level_pressure:d')}
+FROM events"""
+
+ORACLES["parse_taf"] = f"""
+SELECT 'K' || (user_id % 20) AS station, strftime(ts, '%Y-%m-%dT%H:%M:%S') AS issue_time, event_id AS period_from,
+       event_id + CASE WHEN k = 0 THEN 3600 ELSE 1800 END AS period_to, event_id AS valid_from, event_id + 86400 AS valid_to,
+       CASE WHEN k = 1 THEN 'TEMPO' END AS change_indicator, CASE WHEN k = 1 THEN CAST(30 AS INTEGER) END AS probability,
+       CASE WHEN k = 0 THEN {WDIR} END AS wind_dir_deg, CASE WHEN k = 0 THEN CAST(event_id % 40 AS INTEGER) END AS wind_speed_kt,
+       CASE WHEN k = 0 THEN {VISIB} ELSE 3e0 END AS visibility_sm, CASE WHEN k = 0 THEN {CEIL} END AS ceiling_ft, event_type AS raw,
+       {nulls('wind_gust_kt:i', 'wind_shear_hgt:i', 'vertical_vis_ft:i', 'weather:s')}
+FROM events CROSS JOIN (VALUES (0), (1)) v(k)"""
+
+HAZ = """h AS (
+  SELECT *, ['TS', 'TURB', 'ICE', 'MTW', 'VA', 'XX'][o_custkey % 6 + 1] AS hazard,
+         ['thunderstorm', 'turbulence', 'icing', 'mountain_wave', 'volcanic_ash', NULL][o_custkey % 6 + 1] AS hazard_name,
+         o_custkey % 5 = 0 AS across, 10e0 + o_orderkey % 20 AS lat1, 12e0 + o_orderkey % 30 AS lat2 FROM orders)
+"""
+
+ORACLES["parse_sigmet"] = f"""WITH {HAZ}
+SELECT 'F' || (o_custkey % 9) || '-' || CASE WHEN o_orderkey % 8 <> 0 THEN 'S' || o_orderkey ELSE 'None' END || '-'
+         || CAST(floor(epoch(o_orderdate)) AS BIGINT) || '-' || hazard AS hazard_id,
+       'SIGMET' AS kind, 'F' || (o_custkey % 9) AS fir_id, CASE WHEN o_orderkey % 8 <> 0 THEN 'S' || o_orderkey END AS series, hazard, hazard_name,
+       CAST(CAST(floor(epoch(o_orderdate)) AS BIGINT) AS VARCHAR) AS valid_from, CAST(CAST(floor(epoch(o_orderdate)) AS BIGINT) + 14400 AS VARCHAR) AS valid_to,
+       CAST(o_orderkey % 10 * 1000 AS VARCHAR) AS altitude_base_ft,
+       CASE WHEN o_orderkey % 11 <> 0 THEN least(lat1, lat2) END AS min_lat, CASE WHEN o_orderkey % 11 <> 0 THEN greatest(lat1, lat2) END AS max_lat,
+       CASE WHEN o_orderkey % 11 <> 0 THEN CASE WHEN across THEN 175e0 ELSE -100e0 END END AS min_lon,
+       CASE WHEN o_orderkey % 11 <> 0 THEN CASE WHEN across THEN -176e0 ELSE -90e0 + o_custkey % 7 END END AS max_lon,
+       o_orderkey % 11 <> 0 AND across AS crosses_antimeridian,
+       {nulls('fir_name:s', 'icao_id:s', 'qualifier:s', 'altitude_top_ft:s', 'movement_dir:s', 'movement_speed_kt:s', 'change:s', 'raw:s')}
+FROM h"""
+
+ORACLES["parse_gairmet"] = f"""WITH {HAZ}
+SELECT 'gairmet-SIERRA-' || strftime(o_orderdate, '%Y-%m-%d') || '-' || hazard || '-' || o_orderkey AS hazard_id, 'GAIRMET' AS kind, hazard, hazard_name,
+       strftime(o_orderdate, '%Y-%m-%d') AS valid_from, o_orderpriority AS severity, least(lat1, lat2) AS min_lat, greatest(lat1, lat2) AS max_lat,
+       CASE WHEN across THEN 175e0 ELSE -100e0 END AS min_lon, CASE WHEN across THEN -176e0 ELSE -90e0 + o_custkey % 7 END AS max_lon,
+       across AS crosses_antimeridian, {nulls('valid_to:s', 'issue_time:s', 'altitude_base_ft:s', 'altitude_top_ft:s', 'frequency:s')}
+FROM h"""
+
+ORACLES["hazard_counts"] = f"WITH {HAZ} SELECT hazard_name, count(*) * 2 AS hazards FROM h GROUP BY hazard_name"
+
+ORACLES["parse_disruption"] = f"""
+WITH d AS (SELECT *, o_orderkey % 2 = 0 AS shut, o_orderkey % 4 = 1 AS inbound FROM orders)
+SELECT 'K' || (o_custkey % 25) AS airport, 'Mixed ' || ((o_orderkey // 200) % 3) AS delay_type, {BASE} + (o_orderkey // 200) * 60 AS observed_at,
+       CAST(o_orderkey AS VARCHAR) AS reason,
+       CASE WHEN NOT shut AND inbound THEN (o_orderkey % 60) || ' minutes' END AS arrival_delay_min,
+       CASE WHEN NOT shut AND inbound THEN '1 hour' END AS arrival_delay_max,
+       CASE WHEN NOT shut AND NOT inbound THEN (o_orderkey % 60) || ' minutes' END AS departure_delay_min,
+       CASE WHEN NOT shut AND NOT inbound THEN '1 hour' END AS departure_delay_max,
+       CASE WHEN shut THEN strftime(o_orderdate, '%Y-%m-%d') END AS reopen_time,
+       CASE WHEN shut THEN 'start=0' || o_custkey ELSE 'arrival_departure_' || CASE WHEN inbound THEN 'arrival' ELSE 'departure' END
+         || '_trend=' || o_orderstatus END AS extra,
+       {nulls('avg_delay:s', 'max_delay:s', 'min_delay:s', 'end_time:s')}
+FROM d"""
+
+ORACLES["parse_launches"] = f"""
+SELECT 'L' || o_orderkey AS launch_id, strftime(o_orderdate, '%Y-%m-%dT%H:%M:%SZ') AS net,
+       CASE WHEN o_orderkey % 2 = 0 THEN 'Hold' ELSE 'Go for Launch' END AS status, CASE WHEN o_orderkey % 2 = 0 THEN 'Hold' ELSE 'Go' END AS status_abbrev,
+       o_orderpriority AS observed_at, CASE WHEN o_orderkey % 3 = 0 THEN 'M' END AS mission, CASE WHEN o_orderkey % 3 = 0 THEN 'Test' END AS mission_type,
+       CASE WHEN o_orderkey % 3 = 0 THEN 'LEO' END AS orbit, CASE WHEN o_orderkey % 5 = 0 THEN 'R7' ELSE 'Falcon' END AS vehicle,
+       CASE WHEN o_orderkey % 4 = 0 THEN 'A, ' || o_orderstatus END AS program, CAST(o_orderkey % 100 AS INTEGER) AS probability,
+       'P' AS pad_name, CAST(o_custkey % 90 AS DOUBLE) AS pad_latitude, 'Cape' AS pad_location, o_orderkey % 2 = 1 AS webcast_live,
+       {nulls('name:s', 'slug:s', 'provider:s', 'window_start:s', 'window_end:s', 'net_precision:s', 'weather_concerns:s', 'hold_reason:s', 'fail_reason:s', 'pad_longitude:d', 'country_code:s', 'pad_turnaround:s', 'orbital_attempt_count_year:i')}
+FROM orders"""
+
+ORACLES["parse_launch_updates"] = f"""
+SELECT 'L' || o_orderkey || '-' || (o_orderkey * 2 + k) AS update_id, 'L' || o_orderkey AS launch_id, CASE WHEN k = 0 THEN o_orderstatus ELSE 'x' END AS comment,
+       {nulls('created_on:s', 'info_url:s', 'created_by:s')}
+FROM orders CROSS JOIN (VALUES (0), (1)) v(k)"""
+
+ORACLES["parse_orbital"] = f"""
+SELECT CAST(p_partkey AS INTEGER) AS norad_cat_id, '2026-07-29T00:00:00' AS epoch, p_name AS object_name,
+       CASE WHEN p_partkey % 10 = 0 THEN 'UNKNOWN' ELSE (2000 + p_partkey % 25) || '-' || lpad(CAST(p_partkey % 100 AS VARCHAR), 3, '0') || 'BK' END AS object_id,
+       CASE WHEN p_partkey % 10 <> 0 THEN (2000 + p_partkey % 25) || '-' || lpad(CAST(p_partkey % 100 AS VARCHAR), 3, '0') END AS launch_designator,
+       CASE WHEN p_partkey % 10 <> 0 THEN CAST(2000 + p_partkey % 25 AS INTEGER) END AS launch_year,
+       CASE WHEN p_partkey % 13 = 0 THEN 0e0 ELSE p_size / 4e0 END AS mean_motion, p_retailprice AS bstar,
+       CASE WHEN p_partkey % 13 <> 0 THEN round(1440e0 / (p_size / 4e0), 3) END AS period_minutes, 'active' AS "group",
+       {nulls('eccentricity:d', 'inclination:d', 'ra_of_asc_node:d', 'arg_of_pericenter:d', 'mean_anomaly:d', 'mean_motion_dot:d', 'rev_at_epoch:i')}
+FROM part"""
+
+ORACLES["parse_kp"] = """
+SELECT CASE WHEN event_id % 50 <> 0 THEN CAST(floor(epoch(ts)) AS BIGINT) END AS observed_at,
+       CASE WHEN event_id % 50 = 0 THEN 'soon' ELSE strftime(ts, '%Y-%m-%dT%H:%M:%S') END AS time_tag, CAST(event_id % 9 AS INTEGER) AS kp_index,
+       CASE WHEN event_id % 20 <> 0 THEN event_id % 90 / 10e0 END AS estimated_kp, event_type AS kp_label,
+       event_id % 20 <> 0 AND event_id % 90 >= 50 AS storm, 'noaa_swpc' AS source
+FROM events"""
+
+NOTAM_PARSED = f"""
+SELECT CASE WHEN o_orderkey % 3 <> 0 THEN 'N' ELSE '#' END || o_orderkey AS notam_id, CASE WHEN o_orderkey % 6 <> 0 THEN '#' || o_orderkey END AS number,
+       'L' || ((o_orderkey // 200) % 5) AS location,
+       CASE WHEN o_custkey % 4 <> 0 THEN 'K' || (o_custkey % 25) ELSE 'L' || ((o_orderkey // 200) % 5) END AS icao_location, o_orderstatus AS type,
+       o_orderpriority AS classification, strftime(o_orderdate, '%Y-%m-%d') AS effective_start,
+       CASE WHEN o_orderkey % 2 = 0 THEN 'f' ELSE 's' END || o_orderkey AS formatted_text,
+       {nulls('effective_end:s', 'issued:s', 'affected_fir:s', 'selection_code:s', 'minimum_fl:s', 'maximum_fl:s', 'text:s')}
+FROM orders WHERE o_orderkey % 6 <> 0 OR o_orderkey % 3 <> 0"""
+ORACLES["parse_notam"] = NOTAM_PARSED
+
+ORACLES["parse_fuel"] = f"""
+SELECT strftime(o_orderdate, '%Y-%m-%d') AS period, CASE WHEN o_orderkey % 2 = 0 THEN o_orderpriority WHEN o_orderkey % 5 <> 0 THEN 'NYH' ELSE 'EPJK' END AS series,
+       'EPJK' AS product, CASE WHEN o_orderkey % 5 <> 0 THEN 'NYH' END AS area, CASE WHEN o_orderkey % 4 <> 0 THEN CAST(o_custkey AS DOUBLE) END AS price,
+       '$/GAL' AS units, {nulls('product_name:s')}
+FROM orders WHERE o_orderkey % 9 <> 0"""
+
+ORACLES["parse_airports"] = f"""
+SELECT 'S' || s_suppkey AS ident, CASE WHEN s_suppkey % 4 <> 0 THEN 'K' || s_suppkey END AS icao, s_name || ', "The" Field' AS name,
+       ['large_airport', 'small_airport', 'heliport', 'medium_airport', 'closed'][s_suppkey % 5 + 1] AS kind, CAST(s_suppkey % 90 AS DOUBLE) AS latitude,
+       CASE WHEN s_suppkey % 7 <> 0 THEN CAST(-(s_suppkey % 180) AS DOUBLE) END AS longitude,
+       CASE WHEN s_suppkey % 3 <> 0 THEN CAST(s_suppkey AS INTEGER) END AS elevation_ft, 'NA' AS continent, CAST(s_nationkey AS VARCHAR) AS iso_country,
+       s_name AS municipality, s_suppkey % 2 = 0 AS scheduled_service, {nulls('iata:s', 'iso_region:s')}
+FROM supplier WHERE s_suppkey % 5 IN (0, 1, 3)"""
+
+ORACLES["parse_runways"] = f"""
+SELECT CAST(s_suppkey AS VARCHAR) AS runway_id, 'S' || (s_suppkey % 50) AS airport_ident, CAST(s_suppkey * 10 AS INTEGER) AS length_ft,
+       CASE WHEN s_suppkey % 3 <> 0 THEN CAST(150 AS INTEGER) END AS width_ft, CASE WHEN s_suppkey % 4 <> 0 THEN 'ASP' END AS surface,
+       s_suppkey % 2 = 1 AS lighted, false AS closed, '09' AS le_ident, CAST(s_suppkey % 90 AS DOUBLE) AS le_latitude,
+       CAST(s_suppkey % 180 AS DOUBLE) AS le_longitude, 90.5e0 AS le_heading_deg, '27' AS he_ident,
+       {nulls('he_latitude:d', 'he_longitude:d', 'he_heading_deg:d')}
+FROM supplier"""
+
+ORACLES["parse_registry"] = f"""
+SELECT 'a' || c_custkey AS icao24, CASE WHEN c_custkey % 3 = 0 THEN 'N' || c_custkey END AS registration,
+       CASE WHEN c_custkey % 3 = 1 THEN 'T' || (c_custkey % 6) END AS aircraft_type, 'Model "' || (c_custkey % 9) || '"' AS model,
+       'O''Neil ' || (c_custkey % 4) AS manufacturer, CASE WHEN c_custkey % 6 = 2 THEN c_mktsegment END AS operator, CAST(c_nationkey AS VARCHAR) AS operator_icao,
+       c_name AS owner, CAST(c_custkey AS VARCHAR) AS serial_number, {nulls('operator_iata:s', 'operator_callsign:s', 'country:s', 'category:s', 'built:s')}
+FROM customer WHERE c_custkey % 50 <> 0 AND (c_custkey % 3 <> 2 OR c_custkey % 6 = 2)"""
+
+ORACLES["normalisers"] = """
+SELECT event_id, CASE event_id % 4 WHEN 0 THEN 10e0 WHEN 1 THEN value WHEN 2 THEN 2.5e0 END AS visibility_sm,
+       CASE WHEN event_id % 3 = 1 THEN CAST(event_id AS INTEGER) END AS wind_dir_deg,
+       CAST((event_id % 720 - 360 + 180 + 720) % 360 - 180 AS DOUBLE) AS wrapped_lon,
+       CASE WHEN event_id % 5 <> 0 THEN (1990 + event_id % 30) || '-' || lpad(CAST(event_id % 300 AS VARCHAR), 3, '0') END AS launch_designator,
+       CASE WHEN event_id % 5 <> 0 THEN CAST(1990 + event_id % 30 AS INTEGER) END AS launch_year,
+       round(1440e0 / nullif(value, 0), 3) AS period_minutes,
+       CASE WHEN event_id % 6 <> 0 THEN CAST(floor(epoch(ts)) AS BIGINT) END AS update_epoch,
+       CASE WHEN event_id % 6 <> 1 THEN CAST(floor(epoch(ts)) AS BIGINT) END AS tag_epoch,
+       CASE WHEN event_id % 2 = 0 THEN event_type END AS unquoted, event_type AS status, event_id % 90 >= 50 AS storm,
+       CAST(floor(epoch(ts)) AS BIGINT) AS seconds
+FROM events"""
+
+# ---- storage ------------------------------------------------------------------------------------
+
+ORACLES["bronze_roundtrip"] = NOTAM_PARSED
+
+ORACLES["bronze_scan"] = f"""
+WITH p AS (SELECT DISTINCT o_orderkey // 200 AS page FROM orders)
+SELECT strftime({ts(f'{BASE} + page * 60')}, '%Y-%m-%d') AS dt, strftime({ts(f'{BASE} + page * 60')}, '%H') AS hh,
+       CAST(sum(CASE WHEN page % 10 <> 0 THEN 1 ELSE 0 END) AS BIGINT) AS readable_pages,
+       CAST(sum(CASE WHEN page % 10 = 0 THEN 1 ELSE 0 END) AS BIGINT) AS unreadable_pages, min({BASE}000 + page * 60000) AS first_captured_at
+FROM p GROUP BY 1, 2"""
+
+ORACLES["upsert_merge"] = f"""WITH {NOTAM}
+SELECT notam_id, location, icao_location, classification, CASE WHEN CAST(notam_id AS BIGINT) % 3 = 0 THEN 'R' ELSE type END AS type,
+       effective_start, effective_end FROM nt"""
+
+ORACLES["read_table"] = """
+SELECT strftime(o_orderdate, '%Y-%m-%d') AS period, o_orderpriority AS series, round(avg(o_totalprice) / 100000, 4) AS price,
+       strftime(o_orderdate, '%Y-%m-%d') AS dt FROM orders GROUP BY ALL"""
+
+ORACLES["replay_rebuild"] = f"SELECT notam_id, icao_location, type, formatted_text FROM ({NOTAM_PARSED})"
+ORACLES["ingest_batch"] = ORACLES["replay_rebuild"]
+
+ORACLES["load_ledger"] = """
+SELECT CASE WHEN k = 1 THEN 'run-1' ELSE 'run-2' END AS run_id, 'notam' AS source, 'silver' AS layer, 'fct_notam' AS target, 'ok' AS status,
+       count(DISTINCT o_orderkey // 200) AS pages,
+       count(*) FILTER (WHERE o_orderkey % 6 <> 0) AS rows_read, count(*) FILTER (WHERE o_orderkey % 6 <> 0) AS rows_written
+FROM orders CROSS JOIN (VALUES (1), (2)) v(k) WHERE k = 1 OR o_orderkey // 200 % 10 = 0 GROUP BY k"""
+
+ORACLES["lineage"] = """
+SELECT 'page-' || lpad(CAST(o_orderkey // 200 AS VARCHAR), 8, '0') AS page_id, 'dt=' || strftime(o_orderdate, '%Y-%m-%d') AS partition,
+       count(*) AS row_count, 'fct_fuel_price' AS target
+FROM orders WHERE o_orderkey % 9 <> 0 GROUP BY 1, 2"""
+
+ORACLES["table_stats"] = """
+SELECT 'events' AS table_name, count(*) AS row_count, CAST(1 AS BIGINT) AS file_count FROM events
+UNION ALL SELECT 'orders', count(*), 1 FROM orders UNION ALL SELECT 'lineitem', count(*), 1 FROM lineitem
+UNION ALL SELECT 'customer', count(*), 1 FROM customer"""
+
+ORACLES["publish_gold"] = f"""{WITH_LEGS}, {DIM}
+SELECT strftime({ts('start_time')}, '%Y-%m-%d') AS dt, count(*) AS row_count, 'fct_flight_leg' AS "table" FROM legs GROUP BY 1
+UNION ALL SELECT 'all', count(*), 'dim_aircraft' FROM dim"""
+
+# ---- SQL surface --------------------------------------------------------------------------------
+
+DENSITY = f"""
+SELECT hub, date_trunc('hour', {ts('snapshot_time')}) AS hour, count(*) AS fixes, count(DISTINCT hex) AS aircraft,
+       count(DISTINCT hex) FILTER (WHERE on_ground) AS on_ground FROM pos GROUP BY 1, 2"""
+
+ORACLES["mart_refresh"] = f"""{WITH_POS}, {NOTAM}
+SELECT (SELECT count(*) FROM ({DENSITY})) AS row_count, 'mart_traffic_density' AS mart, true AS created
+UNION ALL SELECT (SELECT count(*) FROM (SELECT DISTINCT hex, emergency FROM pos WHERE emergency IS NOT NULL)), 'mart_safety_event', true
+UNION ALL SELECT (SELECT count(*) FROM (SELECT DISTINCT icao_location, classification, type FROM nt)), 'mart_notam_impact', true
+UNION ALL SELECT NULL, unnest(['mart_fleet_utilisation', 'mart_route_efficiency', 'mart_weather_risk', 'mart_network_disruption', 'mart_punctuality_proxy',
+  'mart_launch_conflict', 'mart_launch_slips', 'mart_orbital_decay', 'mart_fleet_identity', 'mart_fuel_exposure']), false"""
+
+ORACLES["adhoc_sql"] = f"""{WITH_POS}
+SELECT hub, hour, fixes, aircraft FROM ({DENSITY}) WHERE on_ground > 0 ORDER BY fixes DESC, hub, hour LIMIT 25"""
+
+# ---- data quality -------------------------------------------------------------------------------
+
+
+def outcome(table: str, check: str, passed: str, observed: str, expected: str, severity: str, source: str) -> str:
+    return (
+        f"SELECT '{table}' AS \"table\", '{check}' AS \"check\", {passed} AS passed, {observed} AS observed, "
+        f"'{expected}' AS expected, '{severity}' AS severity FROM {source}"
+    )
+
+
+def dq_null(table: str, c: str, limit: float, source: str, expr: str | None = None) -> str:
+    e = expr or c
+    n = f"count(*) FILTER (WHERE {e} IS NULL)"
+    return outcome(
+        table, f"not_null[{c}]", f"{n} / count(*) <= {limit}", f"printf('%.1f%% null (%d/%d)', {n} * 100e0 / count(*), {n}, count(*))",
+        f"<={limit:.1%} null", "error", source,
+    )
+
+
+def dq_range(table: str, c: str, low: object, high: object, source: str) -> str:
+    bad = f"({c} < {low} OR {c} > {high})"
+    return outcome(
+        table, f"in_range[{c}]", f"count(*) FILTER (WHERE {bad}) = 0",
+        f"count(*) FILTER (WHERE {bad}) || ' out of range' || coalesce(' e.g. ' || min({c}) FILTER (WHERE {bad}), '')",
+        f"{low}..{high}", "error", source,
+    )
+
+
+def dq_unique(table: str, keys: list[str], source: str) -> str:
+    distinct = f"(SELECT count(*) FROM (SELECT DISTINCT {', '.join(keys)} FROM {source}))"
+    label = "+".join(keys)
+    return outcome(
+        table, f"unique[{label}]", f"{distinct} = count(*)", f"(count(*) - {distinct}) || ' duplicates'", f"unique on {label}", "error", source
+    )
+
+
+def dq_rows(table: str, source: str) -> str:
+    return outcome(table, "not_empty", "count(*) > 0", "count(*) || ' rows'", ">0 rows", "error", source)
+
+
+FP = "fct_position"
+ORACLES["dq_not_empty"] = f"{WITH_POS} " + dq_rows(FP, "raw")
+ORACLES["dq_row_count"] = f"{WITH_POS} " + " UNION ALL ".join(
+    outcome(FP, f"row_count_between_1_{n}", f"count(*) BETWEEN 1 AND {n}", "count(*) || ' rows'", f"1..{n} rows", "warn", "raw")
+    for n in (5_000, 10**9)
+)
+ORACLES["dq_not_null"] = f"{WITH_POS} " + " UNION ALL ".join(
+    [dq_null(FP, "hex", 0.0, "raw"), dq_null(FP, "callsign", 0.1, "raw"), dq_null(FP, "registration", 0.25, "raw"), dq_null(FP, "absent", 0.0, "raw", "NULL")]
+)
+ORACLES["dq_in_range"] = f"{WITH_POS} " + " UNION ALL ".join(
+    [
+        dq_range(FP, "ground_speed", 0, 100, "raw"),
+        dq_range(FP, "longitude", -180, 180, "raw"),
+        outcome(FP, "in_range[hex]", "true", "'0 out of range'", "0..1", "error", "(SELECT 1)"),
+    ]
+)
+ORACLES["dq_unique"] = f"{WITH_POS} " + " UNION ALL ".join([dq_unique(FP, ["hex", "snapshot_time"], "raw"), dq_unique(FP, ["hex", "hub"], "raw")])
+ORACLES["dq_fresh"] = f"{WITH_POS} " + " UNION ALL ".join(
+    [
+        *[
+            outcome(FP, "fresh_within[snapshot_time]", f"2000000000 - max(snapshot_time) <= {age}", "(2000000000 - max(snapshot_time)) || 's old'", f"<={age}s old", "error", "raw")
+            for age in (3600, 10**9)
+        ],
+        outcome(FP, "fresh_within[hex]", "false", "'no timestamps'", "<=3600s old", "error", "(SELECT 1)"),
+    ]
+)
+ORACLES["dq_referential"] = f"""{WITH_POS},
+missing AS (SELECT DISTINCT hex FROM pos WHERE hex NOT IN (SELECT CAST(c_custkey AS VARCHAR) FROM customer WHERE c_custkey % 10 <> 0))
+SELECT 'fct_position' AS "table", 'referential[hex]' AS "check", (SELECT count(*) FROM missing) = 0 AS passed,
+       (SELECT count(*) FROM missing) || ' unknown' || CASE WHEN (SELECT count(*) FROM missing) > 0 THEN
+         ' e.g. [''' || (SELECT string_agg(hex, ''', ''' ORDER BY hex) FROM (SELECT hex FROM missing ORDER BY hex LIMIT 3)) || ''']' ELSE '' END AS observed,
+       'all present in reference' AS expected, 'warn' AS severity"""
+ORACLES["dq_suite_position"] = f"{WITH_POS} " + " UNION ALL ".join(
+    [
+        dq_rows(FP, "pos"), dq_unique(FP, ["hex", "snapshot_time"], "pos"), dq_null(FP, "hex", 0.0, "pos"), dq_null(FP, "snapshot_time", 0.0, "pos"),
+        dq_null(FP, "latitude", 0.02, "pos"), dq_range(FP, "latitude", -90, 90, "pos"), dq_range(FP, "longitude", -180, 180, "pos"),
+        dq_range(FP, "alt_baro", -1500, 60000, "pos"), dq_range(FP, "ground_speed", 0, 1200, "pos"), dq_range(FP, "track", 0, 360, "pos"),
+    ]
+)
+WO = "fct_weather_obs"
+ORACLES["dq_blocking"] = f"WITH {WX} SELECT * FROM (" + " UNION ALL ".join(
+    [
+        dq_rows(WO, "wx"), dq_unique(WO, ["station", "obs_time"], "wx"), dq_null(WO, "station", 0.0, "wx"), dq_range(WO, "wind_speed_kt", 0, 250, "wx"),
+        dq_range(WO, "visibility_sm", 0, 100, "wx"), dq_range(WO, "temp_c", -90, 60, "wx"),
+    ]
+) + ") WHERE NOT passed AND severity = 'error'"
+ORACLES["dq_results"] = f"WITH {NOTAM} SELECT *, CAST({BASE} AS BIGINT) AS checked_at FROM (" + " UNION ALL ".join(
+    [dq_unique("fct_notam", ["notam_id"], "nt"), dq_null("fct_notam", "notam_id", 0.0, "nt"), dq_null("fct_notam", "location", 0.0, "nt")]
+) + ")"
+
+# ---- intervals, boxes, rollup -------------------------------------------------------------------
+
+ORACLES["hazard_exposure"] = f"""{WITH_POS},
+hz AS (
+  SELECT CAST(o_orderkey AS VARCHAR) AS hazard_id, CAST(floor(epoch(o_orderdate)) AS BIGINT) % 2592000 + 1704067200 AS valid_from,
+         CAST(floor(epoch(o_orderdate)) AS BIGINT) % 2592000 + 1704067200 + (o_orderkey % 24 + 1) * 3600 AS valid_to,
+         30e0 + o_orderkey % 15 AS min_lat, 32e0 + o_orderkey % 15 + o_custkey % 5 AS max_lat, o_custkey % 5 = 0 AS across,
+         CASE WHEN o_custkey % 5 = 0 THEN 170e0 ELSE -120e0 + o_orderkey % 45 END AS min_lon,
+         CASE WHEN o_custkey % 5 = 0 THEN -110e0 ELSE -118e0 + o_orderkey % 45 + o_custkey % 5 END AS max_lon
+  FROM orders WHERE o_orderkey % 40 = 0)
+SELECT hazard_id, hex, count(*) AS fixes, min(snapshot_time) AS first_inside, max(snapshot_time) AS last_inside
+FROM pos JOIN hz ON snapshot_time BETWEEN valid_from AND valid_to AND latitude BETWEEN min_lat AND max_lat
+  AND CASE WHEN across THEN longitude >= min_lon OR longitude <= max_lon ELSE longitude BETWEEN min_lon AND max_lon END
+GROUP BY 1, 2"""
+
+ORACLES["leg_identity_asof"] = f"""{WITH_LEGS}, {DIM}
+SELECT l.leg_id, l.hex, l.start_time, d.registration AS identity_registration, d.aircraft_type AS identity_aircraft_type,
+       d.operator_icao AS identity_operator_icao
+FROM legs l LEFT JOIN dim d ON d.hex = l.hex AND d.valid_from <= l.start_time AND (d.valid_to IS NULL OR l.start_time < d.valid_to)"""
+
+ORACLES["forecast_for_hour"] = """
+WITH fc AS (
+  SELECT CAST(user_id % 20 AS VARCHAR) AS station, strftime(ts - INTERVAL 1 HOUR, '%Y-%m-%dT%H:%M:%S') AS issue_time,
+         CAST(floor(epoch(ts)) AS BIGINT) AS period_from, CAST(floor(epoch(ts)) AS BIGINT) + CASE WHEN event_id % 3 = 0 THEN 3600 ELSE 21600 END AS period_to,
+         CASE WHEN event_id % 3 = 0 THEN 'TEMPO' || event_id END AS change_indicator, value / 50e0 AS visibility_sm,
+         CAST(event_id * 7 % 80 * 100 AS INTEGER) AS ceiling_ft FROM events),
+want AS (SELECT DISTINCT CAST(user_id % 20 AS VARCHAR) AS station, CAST(floor(epoch(ts)) AS BIGINT) // 3600 * 3600 AS hour_start FROM events)
+SELECT station, hour_start, issue_time, period_from, change_indicator, visibility_sm, ceiling_ft FROM (
+  SELECT w.station, w.hour_start, f.* EXCLUDE (station, period_to),
+         row_number() OVER (PARTITION BY w.station, w.hour_start ORDER BY issue_time DESC, period_from DESC, coalesce(change_indicator, '') DESC) AS rn
+  FROM want w JOIN fc f ON f.station = w.station AND f.period_from <= w.hour_start AND w.hour_start < f.period_to)
+WHERE rn = 1"""
+
+ORACLES["objects_per_launch"] = f"""WITH {ORBIT}
+SELECT launch_designator, count(DISTINCT norad_cat_id) AS objects, count(*) AS element_sets FROM oe GROUP BY 1"""
+
+ORACLES["rollup_positions"] = f"""{WITH_POS}
+SELECT hex, snapshot_time // 3600 * 3600 AS step_start, count(*) AS fixes, min(alt_baro) AS min_alt_baro, max(alt_baro) AS max_alt_baro,
+       max(ground_speed) AS max_ground_speed, bool_or(on_ground) AS any_on_ground
+FROM pos WHERE snapshot_time < 1707868800 - 30 * 86400 AND snapshot_time >= 1707868800 - 365 * 86400 GROUP BY 1, 2"""
+
+# ---- streams ------------------------------------------------------------------------------------
+
+ORACLES["stream_dedupe"] = f"{WITH_POS} SELECT hex, count(*) AS fixes FROM pos GROUP BY 1"
+
+ORACLES["stream_upsert"] = """
+SELECT period, series, price FROM (
+  SELECT strftime(ts, '%Y-%m-%d') AS period, event_type AS series, value AS price,
+         row_number() OVER (PARTITION BY strftime(ts, '%Y-%m-%d'), event_type ORDER BY event_id DESC) AS rn FROM events) WHERE rn = 1"""
+
+ORACLES["stream_density"] = f"""{WITH_POS}
+SELECT hub, snapshot_time // 3600 * 3600 AS hour_start, count(*) AS fixes, count(*) FILTER (WHERE on_ground) AS ground_fixes,
+       max(alt_baro) AS max_alt_ft FROM raw GROUP BY 1, 2"""
+
+ORACLES["stream_legs"] = ORACLES["flight_legs"]

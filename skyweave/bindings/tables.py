@@ -179,3 +179,16 @@ def hazards(orders: DataFrame) -> DataFrame:
         "CASE WHEN o_custkey % 5 = 0 THEN -110e0 ELSE -118e0 + (o_orderkey % 45) + (o_custkey % 5) END AS max_lon",
         "o_custkey % 5 = 0 AS crosses_antimeridian",
     )
+
+
+def forecasts(events: DataFrame) -> DataFrame:
+    """Six-hour forecasts with a shorter change period in every third."""
+    return events.selectExpr(
+        "CAST(user_id % 20 AS STRING) AS station",
+        "date_format(ts - INTERVAL 1 HOUR, \"yyyy-MM-dd'T'HH:mm:ss\") AS issue_time",
+        "unix_timestamp(ts) AS period_from",
+        "unix_timestamp(ts) + CASE WHEN event_id % 3 = 0 THEN 3600 ELSE 21600 END AS period_to",
+        "CASE WHEN event_id % 3 = 0 THEN concat('TEMPO', event_id) END AS change_indicator",
+        "value / 50e0 AS visibility_sm",
+        "CAST(event_id * 7 % 80 * 100 AS INT) AS ceiling_ft",
+    )

@@ -16,7 +16,7 @@ from skyweave.operators.latest import keep_last
 from skyweave.schemas import TABLES, Table
 from skyweave.session import shared_folder
 
-BRONZE_SCHEMA = T.StructType.fromDDL(
+BRONZE_SCHEMA = (
     "page_id string, captured_at bigint, payload string, sha256 string, source string, dt string, hh string"
 )
 # Where a parsed row came from; the order of these is the order of arrival.
@@ -186,34 +186,33 @@ def upsert(spark: SparkSession, root: str, name: str, rows: DataFrame) -> None:
     write_partitions(merged(spark, root, name, new), root, name)
 
 
-def replace_rows(spark: SparkSession, root: str, name: str, rows: DataFrame, scope: DataFrame, on: str) -> None:
-    """Replace all stored rows whose ``on`` value occurs in ``scope`` by ``rows``.
+def replace_rows(
+    spark: SparkSession, root: str, name: str, rows: DataFrame, scope: DataFrame, on: Sequence[str]
+) -> None:
+    """Make ``rows`` the only stored rows for the ``on`` values that occur in ``scope``.
 
     For derived tables, where a recomputation may also take rows back: a late fix can join two legs.
+    Only partitions in which something really changes are rewritten.
     """
     table = TABLES[name]
-    new = stage(spark, conform(rows, table).drop(*ARRIVAL), table.partition_columns)
+    parts = table.partition_columns
+    new = stage(spark, conform(rows, table).drop(*ARRIVAL), parts)
     if not exists(spark, table_path(root, name)):
         write_partitions(new, root, name)
         return
-    values = scope.select(on).distinct()
-    stored = read_table(spark, root, name)
-    stale = stored.join(values, on, "left_semi").select(*table.partition_columns)
-    touched = stale.unionByName(new.select(*table.partition_columns)).distinct()
-    result = stage(
-        spark,
-        in_partitions(stored, touched, table.partition_columns)
-        .join(values, on, "left_anti")
-        .select(*new.columns)
-        .unionByName(new),
-        table.partition_columns,
-    )
+    values = scope.select(*on).distinct()
+    stored = read_table(spark, root, name).select(*new.columns)
+    scoped = stored.join(values, list(on), "left_semi").select(*new.columns)
+    changed = new.exceptAll(scoped).select(*parts).unionByName(scoped.exceptAll(new).select(*parts))
+    touched = stage(spark, changed.distinct())
+    others = in_partitions(stored, touched, parts).join(values, list(on), "left_anti").select(*new.columns)
+    result = stage(spark, others.unionByName(in_partitions(new, touched, parts)), parts)
     # A dynamic overwrite leaves partitions alone that get no rows, so those are dropped by name.
-    emptied = touched.join(result.select(*table.partition_columns).distinct(), table.partition_columns, "left_anti")
+    emptied = touched.join(result.select(*parts).distinct(), parts, "left_anti")
     gone = [row.asDict() for row in emptied.collect()]  # partition names only
     write_partitions(result, root, name)
-    for values_of in gone:
-        drop_partition(spark, root, name, values_of)
+    for partition in gone:
+        drop_partition(spark, root, name, partition)
 
 
 def drop_partition(spark: SparkSession, root: str, name: str, values: dict[str, object]) -> None:
@@ -226,7 +225,7 @@ def drop_partition(spark: SparkSession, root: str, name: str, values: dict[str,
 def attach_views(spark: SparkSession, root: str) -> dict[str, DataFrame]:
     """A temporary view per table that holds rows; returns the DataFrames by name."""
     views = {}
-    for name in TABLES:
+    for name in (n for n, t in TABLES.items() if t.layer != "work"):
         df = read_table(spark, root, name)
         if df.isEmpty():
             continue

@@ -51,7 +51,7 @@ def replay(spark: SparkSession, root: str, source: str, since: str | None = None
 
 def publish_legs(spark: SparkSession, root: str, legs: DataFrame) -> None:
     """Replace the legs of every aircraft in ``legs``, each leg in the day it starts."""
-    lake.replace_rows(spark, root, "fct_flight_leg", legs, legs, "hex")
+    lake.replace_rows(spark, root, "fct_flight_leg", legs, legs, ["hex"])
 
 
 def publish_dimension(spark: SparkSession, root: str, versions: DataFrame) -> None:

@@ -174,6 +174,17 @@ _TABLES = [
         "track_efficiency double, emergency string",
         ("day", "start_time"),
     ),
+    Table(
+        # Working table of the leg job: what one chunk of one aircraft contributes to its legs.
+        "leg_piece", "work", ("hex", "chunk", "piece"),
+        "hex string, chunk bigint, piece int, first_t bigint, last_t bigint, first_ground boolean, "
+        "last_ground boolean, air_n int, event_n int, maybe boolean, callsign string, registration string, "
+        "aircraft_type string, emergency string, hub string, "
+        "first_fix struct<latitude:double,longitude:double>, last_fix struct<latitude:double,longitude:double>, "
+        "first_spot struct<lat:double,lon:double>, last_spot struct<lat:double,lon:double>, airborne boolean, "
+        "fix_count bigint, max_alt_ft int, max_ground_speed_kt double, flown double",
+        ("day", "first_t"),
+    ),
     Table(
         "dim_aircraft", "gold", ("hex", "valid_from"),
         "hex string, registration string, aircraft_type string, operator string, operator_icao string, "
