@@ -505,8 +505,8 @@ SELECT notam_id, location, icao_location, classification, CASE WHEN CAST(notam_i
        effective_start, effective_end FROM nt"""
 
 ORACLES["read_table"] = """
-SELECT strftime(o_orderdate, '%Y-%m-%d') AS period, o_orderpriority AS series, round(avg(o_totalprice) / 100000, 4) AS price,
-       strftime(o_orderdate, '%Y-%m-%d') AS dt FROM orders GROUP BY ALL"""
+SELECT strftime(o_orderdate, '%Y-%m-%d') AS period, o_orderpriority AS series, round(avg(o_totalprice) / 100000, 4) AS price
+FROM orders GROUP BY ALL"""
 
 ORACLES["replay_rebuild"] = f"SELECT notam_id, icao_location, type, formatted_text FROM ({NOTAM_PARSED})"
 ORACLES["ingest_batch"] = ORACLES["replay_rebuild"]
@@ -517,10 +517,10 @@ SELECT CASE WHEN k = 1 THEN 'run-1' ELSE 'run-2' END AS run_id, 'notam' AS sourc
        count(*) FILTER (WHERE o_orderkey % 6 <> 0) AS rows_read, count(*) FILTER (WHERE o_orderkey % 6 <> 0) AS rows_written
 FROM orders CROSS JOIN (VALUES (1), (2)) v(k) WHERE k = 1 OR o_orderkey // 200 % 10 = 0 GROUP BY k"""
 
-ORACLES["lineage"] = """
-SELECT 'page-' || lpad(CAST(o_orderkey // 200 AS VARCHAR), 8, '0') AS page_id, 'dt=' || strftime(o_orderdate, '%Y-%m-%d') AS partition,
-       count(*) AS row_count, 'fct_fuel_price' AS target
-FROM orders WHERE o_orderkey % 9 <> 0 GROUP BY 1, 2"""
+ORACLES["lineage"] = f"""
+SELECT 'page-' || lpad(CAST(page AS VARCHAR), 8, '0') AS page_id, strftime({ts(f'{BASE} + page * 60')}, 'dt=%Y-%m-%d/hh=%H') AS partition,
+       count(*) AS row_count, 'fct_position' AS target
+FROM (SELECT event_id // 200 AS page FROM events) GROUP BY page"""
 
 ORACLES["table_stats"] = """
 SELECT 'events' AS table_name, count(*) AS row_count, CAST(1 AS BIGINT) AS file_count FROM events

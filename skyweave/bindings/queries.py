@@ -14,7 +14,7 @@ from skyweave.functions import geo
 from skyweave.functions import normalise as N
 from skyweave.operators import identity, interval, joins, latest, legs, nearest, segments
 from skyweave.plans import marts, operations, pipeline, quality, warehouse
-from skyweave.session import configure, shared_folder
+from skyweave.session import configure, shared_folder, stage
 from skyweave.sources import PARSERS, pages, reference
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -43,12 +43,17 @@ def _airports(spark: SparkSession, sf: str) -> DataFrame:
     return B.airports(B.load(spark, sf, "supplier"))
 
 
-def _legs(spark: SparkSession, sf: str) -> DataFrame:
+def _derived_legs(spark: SparkSession, sf: str) -> DataFrame:
     return legs.flight_legs(
         _positions(spark, sf), _airports(spark, sf), B.GAP_SECONDS, B.RADIUS_NM, B.MIN_LEG_SECONDS
     )
 
 
+def _legs(spark: SparkSession, sf: str) -> DataFrame:
+    """The leg table, which marts read as a stored table."""
+    return stage(spark, _derived_legs(spark, sf))
+
+
 def _dimension(spark: SparkSession, sf: str) -> DataFrame:
     fixes = B.identity_fixes(B.load(spark, sf, "events"))
     registry = B.registry(B.load(spark, sf, "customer"))
@@ -114,7 +119,7 @@ def haversine_nm(spark: SparkSession, sf: str) -> DataFrame:
 
 @query("flight_legs")
 def flight_legs(spark: SparkSession, sf: str) -> DataFrame:
-    return _legs(spark, sf)
+    return _derived_legs(spark, sf)
 
 
 @query("nearest_airport")
@@ -300,7 +305,7 @@ def read_table(spark: SparkSession, sf: str) -> DataFrame:
     """A stored table next to one that was never written, which reads as empty."""
     root = shared_folder(spark, "lake")
     lake.upsert(spark, root, "fct_fuel_price", B.fuel_prices(B.load(spark, sf, "orders")))
-    stored = lake.read_table(spark, root, "fct_fuel_price").select("period", "series", "price", "dt")
+    stored = lake.read_table(spark, root, "fct_fuel_price").select("period", "series", "price")
     missing = lake.read_table(spark, root, "dim_runway").select(F.lit("none").alias("period"))
     return latest.align(stored, missing)
 
@@ -338,8 +343,8 @@ def load_ledger(spark: SparkSession, sf: str) -> DataFrame:
 
 @query("lineage")
 def lineage(spark: SparkSession, sf: str) -> DataFrame:
-    fuel_pages = P.fuel(B.load(spark, sf, "orders"))
-    return operations.lineage(PARSERS["fuel"].parse(fuel_pages), "fct_fuel_price")
+    sweeps = P.surveillance(B.load(spark, sf, "events"))
+    return operations.lineage(PARSERS["surveillance"].parse(sweeps), "fct_position")
 
 
 @query("table_stats")
@@ -353,7 +358,7 @@ def table_stats(spark: SparkSession, sf: str) -> DataFrame:
 def publish_gold(spark: SparkSession, sf: str) -> DataFrame:
     """Legs and dimension written to their tables twice, read back as counts per partition day."""
     root = shared_folder(spark, "lake")
-    all_legs = lake.stage(spark, _legs(spark, sf))
+    all_legs = _legs(spark, sf)
     for _ in range(2):
         pipeline.publish_legs(spark, root, all_legs)
     pipeline.publish_dimension(spark, root, _dimension(spark, sf))

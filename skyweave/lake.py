@@ -14,7 +14,7 @@ from pyspark.sql import types as T
 
 from skyweave.operators.latest import keep_last
 from skyweave.schemas import TABLES, Table
-from skyweave.session import shared_folder
+from skyweave.session import stage
 
 BRONZE_SCHEMA = (
     "page_id string, captured_at bigint, payload string, sha256 string, source string, dt string, hh string"
@@ -134,18 +134,6 @@ def in_partitions(df: DataFrame, touched: DataFrame, columns: Sequence[str]) ->
     return df.where(F.concat_ws("/", *columns).isin(wanted)) if wanted else df.where(F.lit(False))
 
 
-def stage(spark: SparkSession, rows: DataFrame, partition_columns: Sequence[str] = ()) -> DataFrame:
-    """Write rows once to the shared folder and read them back.
-
-    A merge reads its input several times; staging keeps the parse from being repeated and survives
-    the loss of an executor.
-    """
-    path = shared_folder(spark, "stage")
-    writer = rows.write.option("compression", "zstd")
-    (writer.partitionBy(*partition_columns) if partition_columns else writer).parquet(path)
-    return spark.read.schema(rows.schema).parquet(path)
-
-
 def merged(spark: SparkSession, root: str, name: str, new: DataFrame) -> DataFrame:
     """What the touched partitions hold after merging conformed rows: the last row per key.
 
@@ -182,7 +170,7 @@ def upsert(spark: SparkSession, root: str, name: str, rows: DataFrame) -> None:
     """Merge rows into a table; running it again changes nothing, and no rows means no write."""
     new = conform(rows, TABLES[name])
     if exists(spark, table_path(root, name)):
-        new = stage(spark, new, TABLES[name].partition_columns)
+        new = stage(spark, new)  # a merge reads its input several times; parse it once
     write_partitions(merged(spark, root, name, new), root, name)
 
 
@@ -196,7 +184,7 @@ def replace_rows(
     """
     table = TABLES[name]
     parts = table.partition_columns
-    new = stage(spark, conform(rows, table).drop(*ARRIVAL), parts)
+    new = stage(spark, conform(rows, table).drop(*ARRIVAL))
     if not exists(spark, table_path(root, name)):
         write_partitions(new, root, name)
         return
@@ -206,7 +194,7 @@ def replace_rows(
     changed = new.exceptAll(scoped).select(*parts).unionByName(scoped.exceptAll(new).select(*parts))
     touched = stage(spark, changed.distinct())
     others = in_partitions(stored, touched, parts).join(values, list(on), "left_anti").select(*new.columns)
-    result = stage(spark, others.unionByName(in_partitions(new, touched, parts)), parts)
+    result = stage(spark, others.unionByName(in_partitions(new, touched, parts)))
     # A dynamic overwrite leaves partitions alone that get no rows, so those are dropped by name.
     emptied = touched.join(result.select(*parts).distinct(), parts, "left_anti")
     gone = [row.asDict() for row in emptied.collect()]  # partition names only

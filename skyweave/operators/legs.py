@@ -23,6 +23,7 @@ from skyweave.operators.segments import (
     piece_facts,
     with_segment,
 )
+from skyweave.session import stage
 
 DEFAULT_RADIUS_NM = 3.0
 MIN_LEG_SECONDS = 5 * 60
@@ -122,7 +123,10 @@ def legs_from_pieces(
     airport_radius_nm: float = DEFAULT_RADIUS_NM,
     min_leg_seconds: int = MIN_LEG_SECONDS,
 ) -> DataFrame:
-    """Legs (21 columns) from stored pieces; the pieces must cover each aircraft's whole history."""
+    """Legs (21 columns) from stored pieces; the pieces must cover each aircraft's whole history.
+
+    With airports the legs are staged first, as both the lookup and the result read them.
+    """
     first, last = F.col("first_fix"), F.col("last_fix")
     direct = great_circle_nm(first["latitude"], first["longitude"], last["latitude"], last["longitude"])
     legs = (
@@ -139,7 +143,9 @@ def legs_from_pieces(
     if airports is None:
         nowhere = F.lit(None).cast("string")
         return legs.withColumn("dep_airport", nowhere).withColumn("arr_airport", nowhere).select(*LEG_COLUMNS)
-    return _with_airports(legs, airports, airport_radius_nm).select(*LEG_COLUMNS)
+    kept = [c for c in LEG_COLUMNS if c not in ("dep_airport", "arr_airport")]
+    staged = stage(pieces.sparkSession, legs.select(*kept, "first_fix", "last_fix"))
+    return _with_airports(staged, airports, airport_radius_nm).select(*LEG_COLUMNS)
 
 
 def _with_airports(legs: DataFrame, airports: DataFrame, radius_nm: float) -> DataFrame:
@@ -173,8 +179,12 @@ def flight_legs(
     chunk_seconds: int = DEFAULT_CHUNK_SECONDS,
     tie: Sequence[str] = (),
 ) -> DataFrame:
-    """Legs of every aircraft in ``positions`` (unique on ``(hex, snapshot_time)``, or ordered by ``tie``)."""
-    pieces = leg_pieces(positions, gap_seconds, chunk_seconds, tie)
+    """Legs of every aircraft in ``positions`` (unique on ``(hex, snapshot_time)``, or ordered by ``tie``).
+
+    Fixes are read and shuffled once: the pieces, a small fraction of them, are staged when this is
+    called, and numbering and merging read the staged pieces.
+    """
+    pieces = stage(positions.sparkSession, leg_pieces(positions, gap_seconds, chunk_seconds, tie))
     return legs_from_pieces(pieces, airports, gap_seconds, airport_radius_nm, min_leg_seconds)
 
 
@@ -185,5 +195,6 @@ def track_distance(
     tie: Sequence[str] = (),
 ) -> DataFrame:
     """Distance flown per segment, fix to fix; fixes without coordinates are bridged over."""
-    whole = segments_from_pieces(leg_pieces(positions, gap_seconds, chunk_seconds, tie), gap_seconds)
+    pieces = stage(positions.sparkSession, leg_pieces(positions, gap_seconds, chunk_seconds, tie))
+    whole = segments_from_pieces(pieces, gap_seconds)
     return whole.select("hex", "seg", "fix_count", rounded(F.col("flown"), 2).alias("track_distance_nm"))

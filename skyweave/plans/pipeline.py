@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from skyweave import lake
 from skyweave.plans import operations
 from skyweave.schemas import TABLES
+from skyweave.session import stage
 from skyweave.sources import PARSERS
 
 
@@ -25,10 +26,10 @@ def ingest(spark: SparkSession, root: str, source: str, payloads: DataFrame, run
     """
     started = int(time.time())
     table = PARSERS[source].table
-    pages = lake.stage(spark, payloads.select(F.lit(source).alias("source"), "page_id", "captured_at", "payload"))
+    pages = stage(spark, payloads.select(F.lit(source).alias("source"), "page_id", "captured_at", "payload"))
     try:
         lake.archive(pages, root)
-        rows = lake.stage(spark, parse(pages, source))
+        rows = stage(spark, parse(pages, source))
         lake.upsert(spark, root, table, rows)
     except Exception as err:
         if keep_ledger:
@@ -56,5 +57,5 @@ def publish_legs(spark: SparkSession, root: str, legs: DataFrame) -> None:
 
 def publish_dimension(spark: SparkSession, root: str, versions: DataFrame) -> None:
     """Store all identity versions; the dimension is always replaced as a whole."""
-    staged = lake.stage(spark, lake.conform(versions, TABLES["dim_aircraft"]))
+    staged = stage(spark, lake.conform(versions, TABLES["dim_aircraft"]))
     lake.write_partitions(staged, root, "dim_aircraft")

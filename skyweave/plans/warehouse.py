@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from skyweave import lake
 from skyweave.plans import marts, operations, quality
+from skyweave.session import stage
 
 DEFAULT_LIMIT = 25
 
@@ -31,7 +32,7 @@ def check(spark: SparkSession, root: str, checked_at: int, store: bool = True) -
         results = results.unionByName(part)
     results = results.withColumn("checked_at", F.lit(checked_at).cast("bigint"))
     if store:
-        results = lake.stage(spark, results)
+        results = stage(spark, results)
         operations.append(results, root, "dq_result")
     return results
 

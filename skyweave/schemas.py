@@ -142,7 +142,7 @@ _TABLES = [
     Table(
         "fct_fuel_price", "silver", ("period", "series"),
         "period string, series string, product string, product_name string, area string, price double, units string",
-        ("day", "period"),
+        ("bucket", 4),
     ),
     Table(
         "dim_airport", "silver", ("ident",),

@@ -5,7 +5,7 @@ from __future__ import annotations
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 # Runtime SQL settings every job relies on. Cluster sizing (cores, memory, the number of shuffle
 # partitions) is left to whoever submits the job; AQE coalesces and splits partitions at run time.
@@ -13,6 +13,8 @@ RUNTIME_SETTINGS = {
     "spark.sql.session.timeZone": "UTC",
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
+    # Small shuffles often feed costly parsing, so they keep more partitions than their bytes call for.
+    "spark.sql.adaptive.coalescePartitions.minPartitionSize": "64k",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.adaptive.optimizeSkewsInRebalancePartitions.enabled": "true",
     "spark.sql.sources.partitionOverwriteMode": "dynamic",
@@ -51,3 +53,14 @@ def shared_folder(spark: SparkSession, purpose: str) -> str:
         base = tempfile.mkdtemp(prefix="skyweave-")
         spark.conf.set("spark.checkpoint.dir", base)
     return f"{base.rstrip('/')}/{purpose}-{uuid.uuid4().hex[:12]}"
+
+
+def stage(spark: SparkSession, rows: DataFrame) -> DataFrame:
+    """Write rows once to the shared folder and read them back.
+
+    For results that are read more than once and are much smaller than what they were computed from.
+    Their lineage ends there, so a lost executor costs no recomputation.
+    """
+    path = shared_folder(spark, "stage")
+    rows.write.option("compression", "zstd").parquet(path)
+    return spark.read.schema(rows.schema).parquet(path)

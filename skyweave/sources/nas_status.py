@@ -94,26 +94,29 @@ def parse_disruption(pages: DataFrame) -> DataFrame:
         marked.alias("xml"),
         F.from_xml(xml, "Update_Time string, _corrupt_record string").alias("head"),
     ).where(F.col("xml").isNotNull() & F.col("head._corrupt_record").isNull())
-    blocks = checked.select(
+    # Each step has a column of its own, so that no step is evaluated more than once per page.
+    parsed = checked.select(
         "_captured_at",
         "_page_id",
         N.weekday_text_to_epoch(F.col("head.Update_Time")).alias("observed_at"),
-        F.posexplode(_each(N.part(F.expr("from_xml(xml, 'variant')"), "Delay_type"))).alias("_block", "block"),
-    )
-    level = F.array("block")
-    everywhere = level
-    for _ in range(ELEMENT_DEPTH):
-        level = F.flatten(F.transform(level, _children))
-        everywhere = F.concat(everywhere, level)
+        F.expr("from_xml(xml, 'variant')").alias("page"),
+    ).withColumn("blocks", N.part(F.col("page"), "Delay_type"))
+    found = parsed.select(
+        "_captured_at", "_page_id", "observed_at", F.posexplode(_each(F.col("blocks"))).alias("_block", "block")
+    ).withColumn("_level0", F.array("block"))
+    for depth in range(ELEMENT_DEPTH):
+        found = found.withColumn(f"_level{depth + 1}", F.flatten(F.transform(f"_level{depth}", _children)))
+    everywhere = F.concat(*[f"_level{depth}" for depth in range(ELEMENT_DEPTH + 1)])
     programmes = F.filter(everywhere, lambda e: _text(N.part(e, "ARPT")).isNotNull())
     rows = (
-        blocks.select(
+        found.withColumn("programmes", programmes)
+        .select(
             "_captured_at",
             "_page_id",
             "observed_at",
             "_block",
             F.coalesce(_text(N.part(F.col("block"), "Name")), F.lit("")).alias("delay_type"),
-            F.posexplode(programmes).alias("_pos", "element"),
+            F.posexplode("programmes").alias("_pos", "element"),
         )
         .withColumn("_ordinal", F.shiftleft(F.col("_block").cast("bigint"), 24) + F.col("_pos"))
         .withColumn(

@@ -19,6 +19,7 @@ from skyweave.operators.latest import keep_last
 from skyweave.operators.legs import leg_pieces, legs_from_pieces
 from skyweave.operators.segments import DEFAULT_CHUNK_SECONDS, DEFAULT_GAP_SECONDS
 from skyweave.plans import operations, quality
+from skyweave.session import stage
 from skyweave.sources import PARSERS
 
 AVAILABLE_NOW = {"availableNow": True}
@@ -122,9 +123,9 @@ def run_legs(
     def each(batch: DataFrame, _: int) -> None:
         spark = batch.sparkSession
         chunk = F.floor(F.col("snapshot_time") / DEFAULT_CHUNK_SECONDS).cast("bigint")
-        fresh = lake.stage(spark, batch)
+        fresh = stage(spark, batch)
         lake.upsert(spark, root, "fct_position", fresh)
-        touched = lake.stage(
+        touched = stage(
             spark, fresh.where((F.col("hex") != "") & F.col("snapshot_time").isNotNull()).select("hex", chunk.alias("chunk")).distinct()
         )
         day = F.date_format(F.timestamp_seconds(F.col("chunk") * DEFAULT_CHUNK_SECONDS), "yyyy-MM-dd").alias("dt")
