@@ -658,11 +658,12 @@ SELECT l.leg_id, l.hex, l.start_time, d.registration AS identity_registration, d
 FROM legs l LEFT JOIN dim d ON d.hex = l.hex AND d.valid_from <= l.start_time AND (d.valid_to IS NULL OR l.start_time < d.valid_to)"""
 
 ORACLES["forecast_for_hour"] = """
-WITH fc AS (
-  SELECT CAST(user_id % 20 AS VARCHAR) AS station, strftime(ts - INTERVAL 1 HOUR, '%Y-%m-%dT%H:%M:%S') AS issue_time,
+WITH fall AS (
+  SELECT event_id, CAST(user_id % 20 AS VARCHAR) AS station, strftime(ts - INTERVAL 1 HOUR, '%Y-%m-%dT%H:%M:%S') AS issue_time,
          CAST(floor(epoch(ts)) AS BIGINT) AS period_from, CAST(floor(epoch(ts)) AS BIGINT) + CASE WHEN event_id % 3 = 0 THEN 3600 ELSE 21600 END AS period_to,
          CASE WHEN event_id % 3 = 0 THEN 'TEMPO' || event_id END AS change_indicator, value / 50e0 AS visibility_sm,
          CAST(event_id * 7 % 80 * 100 AS INTEGER) AS ceiling_ft FROM events),
+fc AS (SELECT * EXCLUDE (k, event_id) FROM (SELECT *, row_number() OVER (PARTITION BY station, issue_time, period_from, change_indicator ORDER BY event_id DESC) AS k FROM fall) WHERE k = 1),
 want AS (SELECT DISTINCT CAST(user_id % 20 AS VARCHAR) AS station, CAST(floor(epoch(ts)) AS BIGINT) // 3600 * 3600 AS hour_start FROM events)
 SELECT station, hour_start, issue_time, period_from, change_indicator, visibility_sm, ceiling_ft FROM (
   SELECT w.station, w.hour_start, f.* EXCLUDE (station, period_to),

@@ -10,6 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from skyweave.functions.normalise import rounded
+from skyweave.operators.latest import keep_last
 
 GAP_SECONDS = 43_200
 MIN_LEG_SECONDS = 3_600
@@ -46,8 +47,6 @@ def raw_positions(events: DataFrame) -> DataFrame:
 
 def positions(events: DataFrame) -> DataFrame:
     """``fct_position``: the last arrival per ``(hex, snapshot_time)``."""
-    from skyweave.operators.latest import keep_last
-
     return keep_last(raw_positions(events), ["hex", "snapshot_time"], ["event_id"])
 
 
@@ -182,8 +181,9 @@ def hazards(orders: DataFrame) -> DataFrame:
 
 
 def forecasts(events: DataFrame) -> DataFrame:
-    """Six-hour forecasts with a shorter change period in every third."""
-    return events.selectExpr(
+    """Six-hour forecasts with a shorter change period in every third; unique on the table's key."""
+    rows = events.selectExpr(
+        "event_id",
         "CAST(user_id % 20 AS STRING) AS station",
         "date_format(ts - INTERVAL 1 HOUR, \"yyyy-MM-dd'T'HH:mm:ss\") AS issue_time",
         "unix_timestamp(ts) AS period_from",
@@ -192,3 +192,5 @@ def forecasts(events: DataFrame) -> DataFrame:
         "value / 50e0 AS visibility_sm",
         "CAST(event_id * 7 % 80 * 100 AS INT) AS ceiling_ft",
     )
+    keys = ["station", "issue_time", "period_from", "change_indicator"]
+    return keep_last(rows, keys, ["event_id"], nullable_keys=["change_indicator"])
