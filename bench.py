@@ -38,7 +38,7 @@ def main() -> None:
     names = sys.argv[1:] or HEADLINE
     spark = build_session(
         "bench", f"local[{cpus}]",
-        **{"spark.ui.enabled": "false", "spark.sql.shuffle.partitions": cpus, "spark.driver.memory": "8g"},
+        **{"spark.ui.enabled": "false", "spark.ui.showConsoleProgress": "false", "spark.sql.shuffle.partitions": cpus, "spark.driver.memory": "8g"},
     )
     spark.sparkContext.setLogLevel("OFF")
     seconds = {}

@@ -61,6 +61,7 @@ def airports(supplier: DataFrame) -> DataFrame:
 def registry(customer: DataFrame) -> DataFrame:
     return customer.selectExpr(
         "CAST(c_custkey AS STRING) AS icao24",
+        "c_acctbal AS balance",
         "CAST(NULL AS STRING) AS registration",
         "CAST(NULL AS STRING) AS aircraft_type",
         "c_mktsegment AS operator",
@@ -167,11 +168,11 @@ def orbital_elements(lineitem: DataFrame) -> DataFrame:
 
 def hazards(orders: DataFrame) -> DataFrame:
     """Boxes of two to six degrees, valid for some hours; one in five crosses the antimeridian."""
-    return orders.where("o_orderkey % 40 = 0").selectExpr(
+    return orders.selectExpr(
         "CAST(o_orderkey AS STRING) AS hazard_id",
         "element_at(array('TS', 'TURB', 'ICE', 'MTW', 'VA'), CAST(o_custkey % 5 + 1 AS INT)) AS hazard",
         "unix_timestamp(o_orderdate) % 2592000 + 1704067200 AS valid_from",
-        "unix_timestamp(o_orderdate) % 2592000 + 1704067200 + (o_orderkey % 24 + 1) * 3600 AS valid_to",
+        "unix_timestamp(o_orderdate) % 2592000 + 1704067200 + (o_orderkey % 4 + 1) * 3600 AS valid_to",
         "30e0 + (o_orderkey % 15) AS min_lat",
         "32e0 + (o_orderkey % 15) + (o_custkey % 5) AS max_lat",
         "CASE WHEN o_custkey % 5 = 0 THEN 170e0 ELSE -120e0 + (o_orderkey % 45) END AS min_lon",

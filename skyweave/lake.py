@@ -14,7 +14,7 @@ from pyspark.sql import types as T
 
 from skyweave.operators.latest import keep_last
 from skyweave.schemas import TABLES, Table
-from skyweave.session import stage
+from skyweave.session import delete, staged
 
 BRONZE_SCHEMA = (
     "page_id string, captured_at bigint, payload string, sha256 string, source string, dt string, hh string"
@@ -169,9 +169,11 @@ def write_partitions(df: DataFrame, root: str, name: str) -> None:
 def upsert(spark: SparkSession, root: str, name: str, rows: DataFrame) -> None:
     """Merge rows into a table; running it again changes nothing, and no rows means no write."""
     new = conform(rows, TABLES[name])
-    if exists(spark, table_path(root, name)):
-        new = stage(spark, new)  # a merge reads its input several times; parse it once
-    write_partitions(merged(spark, root, name, new), root, name)
+    if not exists(spark, table_path(root, name)):
+        write_partitions(merged(spark, root, name, new), root, name)
+        return
+    with staged(spark, new) as parsed:  # a merge reads its input several times; parse it once
+        write_partitions(merged(spark, root, name, parsed), root, name)
 
 
 def replace_rows(
@@ -184,30 +186,28 @@ def replace_rows(
     """
     table = TABLES[name]
     parts = table.partition_columns
-    new = stage(spark, conform(rows, table).drop(*ARRIVAL))
-    if not exists(spark, table_path(root, name)):
-        write_partitions(new, root, name)
-        return
-    values = scope.select(*on).distinct()
-    stored = read_table(spark, root, name).select(*new.columns)
-    scoped = stored.join(values, list(on), "left_semi").select(*new.columns)
-    changed = new.exceptAll(scoped).select(*parts).unionByName(scoped.exceptAll(new).select(*parts))
-    touched = stage(spark, changed.distinct())
-    others = in_partitions(stored, touched, parts).join(values, list(on), "left_anti").select(*new.columns)
-    result = stage(spark, others.unionByName(in_partitions(new, touched, parts)))
-    # A dynamic overwrite leaves partitions alone that get no rows, so those are dropped by name.
-    emptied = touched.join(result.select(*parts).distinct(), parts, "left_anti")
-    gone = [row.asDict() for row in emptied.collect()]  # partition names only
-    write_partitions(result, root, name)
-    for partition in gone:
-        drop_partition(spark, root, name, partition)
+    with staged(spark, conform(rows, table).drop(*ARRIVAL)) as new:
+        if not exists(spark, table_path(root, name)):
+            write_partitions(new, root, name)
+            return
+        values = scope.select(*on).distinct()
+        stored = read_table(spark, root, name).select(*new.columns)
+        scoped = stored.join(values, list(on), "left_semi").select(*new.columns)
+        changes = new.exceptAll(scoped).select(*parts).unionByName(scoped.exceptAll(new).select(*parts))
+        with staged(spark, changes.distinct()) as touched:
+            others = in_partitions(stored, touched, parts).join(values, list(on), "left_anti").select(*new.columns)
+            with staged(spark, others.unionByName(in_partitions(new, touched, parts))) as result:
+                # A dynamic overwrite leaves partitions alone that get no rows; those are dropped by name.
+                emptied = touched.join(result.select(*parts).distinct(), parts, "left_anti")
+                gone = [row.asDict() for row in emptied.collect()]  # partition names only
+                write_partitions(result, root, name)
+        for partition in gone:
+            drop_partition(spark, root, name, partition)
 
 
 def drop_partition(spark: SparkSession, root: str, name: str, values: dict[str, object]) -> None:
     below = "/".join(f"{c}={values[c]}" for c in TABLES[name].partition_columns)
-    jvm = spark.sparkContext._jvm
-    target = jvm.org.apache.hadoop.fs.Path(f"{table_path(root, name)}/{below}")
-    target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(target, True)
+    delete(spark, f"{table_path(root, name)}/{below}")
 
 
 def attach_views(spark: SparkSession, root: str) -> dict[str, DataFrame]:

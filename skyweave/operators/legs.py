@@ -116,20 +116,17 @@ def segments_from_pieces(pieces: DataFrame, gap_seconds: int = DEFAULT_GAP_SECON
     )
 
 
-def legs_from_pieces(
-    pieces: DataFrame,
-    airports: DataFrame | None = None,
-    gap_seconds: int = DEFAULT_GAP_SECONDS,
-    airport_radius_nm: float = DEFAULT_RADIUS_NM,
-    min_leg_seconds: int = MIN_LEG_SECONDS,
+def unnamed_legs(
+    pieces: DataFrame, gap_seconds: int = DEFAULT_GAP_SECONDS, min_leg_seconds: int = MIN_LEG_SECONDS
 ) -> DataFrame:
-    """Legs (21 columns) from stored pieces; the pieces must cover each aircraft's whole history.
+    """Legs without airports, from stored pieces covering each aircraft's whole history.
 
-    With airports the legs are staged first, as both the lookup and the result read them.
+    ``first_fix`` and ``last_fix`` are carried for :func:`name_airports`.
     """
     first, last = F.col("first_fix"), F.col("last_fix")
     direct = great_circle_nm(first["latitude"], first["longitude"], last["latitude"], last["longitude"])
-    legs = (
+    kept = [c for c in LEG_COLUMNS if c not in ("dep_airport", "arr_airport")]
+    return (
         segments_from_pieces(pieces, gap_seconds)
         .withColumn("duration_s", F.col("end_time") - F.col("start_time"))
         .where(F.col("airborne") & (F.col("duration_s") >= min_leg_seconds))
@@ -139,17 +136,18 @@ def legs_from_pieces(
         .withColumn("track_distance_nm", rounded(F.col("flown"), 2))
         .withColumn("direct_distance_nm", rounded(F.col("direct"), 2))
         .withColumn("track_efficiency", F.when(F.col("direct") > 1, rounded(F.col("flown") / F.col("direct"), 3)))
+        .select(*kept, "first_fix", "last_fix")
     )
+
+
+def name_airports(legs: DataFrame, airports: DataFrame | None, radius_nm: float = DEFAULT_RADIUS_NM) -> DataFrame:
+    """Name an airport only for an end that was seen on the ground within reach of one.
+
+    ``legs`` (of :func:`unnamed_legs`) is read twice, so it should be staged.
+    """
     if airports is None:
         nowhere = F.lit(None).cast("string")
         return legs.withColumn("dep_airport", nowhere).withColumn("arr_airport", nowhere).select(*LEG_COLUMNS)
-    kept = [c for c in LEG_COLUMNS if c not in ("dep_airport", "arr_airport")]
-    staged = stage(pieces.sparkSession, legs.select(*kept, "first_fix", "last_fix"))
-    return _with_airports(staged, airports, airport_radius_nm).select(*LEG_COLUMNS)
-
-
-def _with_airports(legs: DataFrame, airports: DataFrame, radius_nm: float) -> DataFrame:
-    """Name an airport only for an end that was seen on the ground within reach of one."""
     ends = legs.select(
         "leg_id",
         F.explode(
@@ -167,7 +165,7 @@ def _with_airports(legs: DataFrame, airports: DataFrame, radius_nm: float) -> Da
             F.max(F.when(F.col("which") == "arr", F.col("ident"))).alias("arr_airport"),
         )
     )
-    return legs.join(named, "leg_id", "left")
+    return legs.join(named, "leg_id", "left").select(*LEG_COLUMNS)
 
 
 def flight_legs(
@@ -182,10 +180,12 @@ def flight_legs(
     """Legs of every aircraft in ``positions`` (unique on ``(hex, snapshot_time)``, or ordered by ``tie``).
 
     Fixes are read and shuffled once: the pieces, a small fraction of them, are staged when this is
-    called, and numbering and merging read the staged pieces.
+    called, and numbering and merging read the staged pieces. So are the legs before the airport lookup.
     """
-    pieces = stage(positions.sparkSession, leg_pieces(positions, gap_seconds, chunk_seconds, tie))
-    return legs_from_pieces(pieces, airports, gap_seconds, airport_radius_nm, min_leg_seconds)
+    spark = positions.sparkSession
+    pieces = stage(spark, leg_pieces(positions, gap_seconds, chunk_seconds, tie))
+    legs = unnamed_legs(pieces, gap_seconds, min_leg_seconds)
+    return name_airports(stage(spark, legs) if airports is not None else legs, airports, airport_radius_nm)
 
 
 def track_distance(

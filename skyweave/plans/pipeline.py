@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from skyweave import lake
 from skyweave.plans import operations
 from skyweave.schemas import TABLES
-from skyweave.session import stage
+from skyweave.session import staged
 from skyweave.sources import PARSERS
 
 
@@ -26,20 +26,21 @@ def ingest(spark: SparkSession, root: str, source: str, payloads: DataFrame, run
     """
     started = int(time.time())
     table = PARSERS[source].table
-    pages = stage(spark, payloads.select(F.lit(source).alias("source"), "page_id", "captured_at", "payload"))
-    try:
-        lake.archive(pages, root)
-        rows = stage(spark, parse(pages, source))
-        lake.upsert(spark, root, table, rows)
-    except Exception as err:
-        if keep_ledger:
-            failed = operations.failed_run(spark, run_id, source, table, started, f"{type(err).__name__}: {err}"[:500])
-            operations.append(failed, root, "pipeline_run")
-        raise
-    if keep_ledger:
-        operations.append(operations.load_ledger(pages, rows, source, table, run_id, started), root, "pipeline_run")
-        fed = operations.lineage(rows, table).withColumn("run_id", F.lit(run_id))
-        operations.append(fed, root, "lineage")
+    received = payloads.select(F.lit(source).alias("source"), "page_id", "captured_at", "payload")
+    with staged(spark, received) as pages:
+        try:
+            lake.archive(pages, root)
+            with staged(spark, parse(pages, source)) as rows:
+                lake.upsert(spark, root, table, rows)
+                if keep_ledger:
+                    operations.append(operations.load_ledger(pages, rows, source, table, run_id, started), root, "pipeline_run")
+                    fed = operations.lineage(rows, table).withColumn("run_id", F.lit(run_id))
+                    operations.append(fed, root, "lineage")
+        except Exception as err:
+            if keep_ledger:
+                failed = operations.failed_run(spark, run_id, source, table, started, f"{type(err).__name__}: {err}"[:500])
+                operations.append(failed, root, "pipeline_run")
+            raise
 
 
 def replay(spark: SparkSession, root: str, source: str, since: str | None = None, until: str | None = None) -> str:
@@ -57,5 +58,5 @@ def publish_legs(spark: SparkSession, root: str, legs: DataFrame) -> None:
 
 def publish_dimension(spark: SparkSession, root: str, versions: DataFrame) -> None:
     """Store all identity versions; the dimension is always replaced as a whole."""
-    staged = stage(spark, lake.conform(versions, TABLES["dim_aircraft"]))
-    lake.write_partitions(staged, root, "dim_aircraft")
+    with staged(spark, lake.conform(versions, TABLES["dim_aircraft"])) as whole:  # may derive from the table itself
+        lake.write_partitions(whole, root, "dim_aircraft")

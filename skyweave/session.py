@@ -4,6 +4,8 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -55,12 +57,32 @@ def shared_folder(spark: SparkSession, purpose: str) -> str:
     return f"{base.rstrip('/')}/{purpose}-{uuid.uuid4().hex[:12]}"
 
 
+def _write_stage(spark: SparkSession, rows: DataFrame) -> tuple[str, DataFrame]:
+    path = shared_folder(spark, "stage")
+    rows.write.option("compression", "zstd").parquet(path)
+    return path, spark.read.schema(rows.schema).parquet(path)
+
+
 def stage(spark: SparkSession, rows: DataFrame) -> DataFrame:
     """Write rows once to the shared folder and read them back.
 
     For results that are read more than once and are much smaller than what they were computed from.
-    Their lineage ends there, so a lost executor costs no recomputation.
+    Their lineage ends there, so a lost executor costs no recomputation. The files stay, as the
+    result may be read at any later time; the shared folder's own retention clears them.
     """
-    path = shared_folder(spark, "stage")
-    rows.write.option("compression", "zstd").parquet(path)
-    return spark.read.schema(rows.schema).parquet(path)
+    return _write_stage(spark, rows)[1]
+
+
+@contextmanager
+def staged(spark: SparkSession, rows: DataFrame) -> Iterator[DataFrame]:
+    """Like :func:`stage` for use within a block; the files are deleted when the block ends."""
+    path, df = _write_stage(spark, rows)
+    try:
+        yield df
+    finally:
+        delete(spark, path)
+
+
+def delete(spark: SparkSession, path: str) -> None:
+    target = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(target, True)

@@ -10,16 +10,16 @@ from __future__ import annotations
 from collections.abc import Callable
 from typing import Any
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from skyweave import lake
 from skyweave.operators.latest import keep_last
-from skyweave.operators.legs import leg_pieces, legs_from_pieces
+from skyweave.operators.legs import leg_pieces, name_airports, unnamed_legs
 from skyweave.operators.segments import DEFAULT_CHUNK_SECONDS, DEFAULT_GAP_SECONDS
 from skyweave.plans import operations, quality
-from skyweave.session import stage
+from skyweave.session import staged
 from skyweave.sources import PARSERS
 
 AVAILABLE_NOW = {"availableNow": True}
@@ -123,22 +123,25 @@ def run_legs(
     def each(batch: DataFrame, _: int) -> None:
         spark = batch.sparkSession
         chunk = F.floor(F.col("snapshot_time") / DEFAULT_CHUNK_SECONDS).cast("bigint")
-        fresh = stage(spark, batch)
-        lake.upsert(spark, root, "fct_position", fresh)
-        touched = stage(
-            spark, fresh.where((F.col("hex") != "") & F.col("snapshot_time").isNotNull()).select("hex", chunk.alias("chunk")).distinct()
-        )
+        with staged(spark, batch) as fresh:
+            usable = fresh.where((F.col("hex") != "") & F.col("snapshot_time").isNotNull())
+            with staged(spark, usable.select("hex", chunk.alias("chunk")).distinct()) as touched:
+                lake.upsert(spark, root, "fct_position", fresh)
+                refresh_pieces(spark, touched, chunk)
+                refresh_legs(spark, touched.select("hex").distinct())
+
+    def refresh_pieces(spark: SparkSession, touched: DataFrame, chunk: Column) -> None:
         day = F.date_format(F.timestamp_seconds(F.col("chunk") * DEFAULT_CHUNK_SECONDS), "yyyy-MM-dd").alias("dt")
-        fixes = lake.in_partitions(
-            lake.read_table(spark, root, "fct_position"), touched.select(day).distinct(), ["dt"]
-        )
+        stored = lake.read_table(spark, root, "fct_position")
+        fixes = lake.in_partitions(stored, touched.select(day).distinct(), ["dt"])
         again = fixes.withColumn("chunk", chunk).join(touched, ["hex", "chunk"], "left_semi").drop("chunk")
         lake.replace_rows(spark, root, "leg_piece", leg_pieces(again, gap_seconds), touched, ["hex", "chunk"])
 
-        aircraft = touched.select("hex").distinct()
+    def refresh_legs(spark: SparkSession, aircraft: DataFrame) -> None:
         pieces = lake.read_table(spark, root, "leg_piece").join(aircraft, "hex", "left_semi").drop("dt")
-        legs = legs_from_pieces(pieces, airports, gap_seconds, airport_radius_nm, min_leg_seconds)
-        lake.replace_rows(spark, root, "fct_flight_leg", legs, aircraft, ["hex"])
+        with staged(spark, unnamed_legs(pieces, gap_seconds, min_leg_seconds)) as legs:
+            named = name_airports(legs, airports, airport_radius_nm)
+            lake.replace_rows(spark, root, "fct_flight_leg", named, aircraft, ["hex"])
 
     return _start(rows, each, checkpoint, trigger)
 

@@ -16,7 +16,7 @@ from skyweave.session import build_session
 def spark():
     session = build_session(
         "tests", "local[8]",
-        **{"spark.ui.enabled": "false", "spark.sql.shuffle.partitions": "4", "spark.driver.memory": "6g"},
+        **{"spark.ui.enabled": "false", "spark.ui.showConsoleProgress": "false", "spark.sql.shuffle.partitions": "4", "spark.driver.memory": "6g"},
     )
     session.sparkContext.setLogLevel("ERROR")
     yield session
