@@ -41,10 +41,6 @@ FIX_COLUMNS = [
 ]
 
 
-def _distance(a, b):
-    return great_circle_nm(a["lat"], a["lon"], b["lat"], b["lon"])
-
-
 def leg_pieces(
     positions: DataFrame,
     gap_seconds: int = DEFAULT_GAP_SECONDS,
@@ -53,33 +49,24 @@ def leg_pieces(
 ) -> DataFrame:
     """One row per ``(hex, chunk, piece)`` with all that legs need; a chunk depends on its own fixes only."""
     fixes = positions.select(*FIX_COLUMNS, *[c for c in tie if c not in FIX_COLUMNS])
-    by_time = Window.partitionBy("hex", "chunk").orderBy("snapshot_time", *tie)
-    earlier = by_time.rowsBetween(Window.unboundedPreceding, -1)
-    spot = F.when(
-        F.col("latitude").isNotNull() & F.col("longitude").isNotNull(),
-        F.struct(F.col("latitude").alias("lat"), F.col("longitude").alias("lon"), "piece"),
-    )
-    local = (
-        local_pieces(fixes, gap_seconds, chunk_seconds, tie)
-        .withColumn("_spot", spot)
-        .withColumn("_from", F.last("_spot", ignorenulls=True).over(earlier))
-        .withColumn(
-            "_step",
-            F.when(F.col("_from.piece") == F.col("piece"), _distance(F.col("_from"), F.col("_spot"))),
-        )
+    here, there = [F.col("_from_lat"), F.col("_from_lon")], [F.col("latitude"), F.col("longitude")]
+    local = local_pieces(fixes, gap_seconds, chunk_seconds, tie, locate=True).withColumn(
+        "_step", great_circle_nm(*here, *there)
     )
     first_text = [
         F.min_by(c, F.when(blank_to_null(F.col(c)).isNotNull(), F.col("_n"))).alias(c) for c in FIRST_SEEN_TEXT
     ]
-    located = F.when(F.col("_spot").isNotNull(), F.col("_n"))
+    n = F.col("_n")
+    located = F.when(F.col("latitude").isNotNull() & F.col("longitude").isNotNull(), n)
+    ends = {}
+    for c in ("latitude", "longitude"):
+        ends[f"first_{c}"], ends[f"last_{c}"] = F.min_by(c, n), F.max_by(c, n)
+        ends[f"from_{c}"], ends[f"to_{c}"] = F.min_by(c, located), F.max_by(c, located)
     return local.groupBy("hex", "chunk", "piece").agg(
         *piece_facts(),
         *first_text,
-        F.min_by("hub", "_n").alias("hub"),
-        F.min_by(F.struct("latitude", "longitude"), "_n").alias("first_fix"),
-        F.max_by(F.struct("latitude", "longitude"), "_n").alias("last_fix"),
-        F.min_by(F.struct(F.col("latitude").alias("lat"), F.col("longitude").alias("lon")), located).alias("first_spot"),
-        F.max_by(F.struct(F.col("latitude").alias("lat"), F.col("longitude").alias("lon")), located).alias("last_spot"),
+        F.min_by("hub", n).alias("hub"),
+        *[end.alias(name) for name, end in ends.items()],
         F.bool_or(~F.col("_ground")).alias("airborne"),
         F.count(F.lit(1)).alias("fix_count"),
         F.max("alt_baro").alias("max_alt_ft"),
@@ -94,8 +81,9 @@ def segments_from_pieces(pieces: DataFrame, gap_seconds: int = DEFAULT_GAP_SECON
     # A segment has at most two pieces per chunk it spans.
     in_order = Window.partitionBy("hex", "seg").orderBy("chunk", "piece")
     earlier = in_order.rowsBetween(Window.unboundedPreceding, -1)
-    bridged = numbered.withColumn(
-        "bridge", _distance(F.last("last_spot", ignorenulls=True).over(earlier), F.col("first_spot"))
+    reached = [F.last(c, ignorenulls=True).over(earlier) for c in ("to_latitude", "to_longitude")]
+    bridged = numbered.withColumns({"_lat": reached[0], "_lon": reached[1]}).withColumn(
+        "bridge", great_circle_nm(F.col("_lat"), F.col("_lon"), F.col("from_latitude"), F.col("from_longitude"))
     )
     at = F.struct("chunk", "piece")
     first_text = [F.min_by(c, F.when(F.col(c).isNotNull(), at)).alias(c) for c in FIRST_SEEN_TEXT]
@@ -106,8 +94,8 @@ def segments_from_pieces(pieces: DataFrame, gap_seconds: int = DEFAULT_GAP_SECON
         F.max("last_t").alias("end_time"),
         F.min_by("first_ground", at).alias("dep_observed"),
         F.max_by("last_ground", at).alias("arr_observed"),
-        F.min_by("first_fix", at).alias("first_fix"),
-        F.max_by("last_fix", at).alias("last_fix"),
+        F.min_by(F.struct(F.col("first_latitude").alias("latitude"), F.col("first_longitude").alias("longitude")), at).alias("first_fix"),
+        F.max_by(F.struct(F.col("last_latitude").alias("latitude"), F.col("last_longitude").alias("longitude")), at).alias("last_fix"),
         F.bool_or("airborne").alias("airborne"),
         F.sum("fix_count").alias("fix_count"),
         F.max("max_alt_ft").alias("max_alt_ft"),

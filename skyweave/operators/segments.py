@@ -36,38 +36,57 @@ def local_pieces(
     gap_seconds: int = DEFAULT_GAP_SECONDS,
     chunk_seconds: int = DEFAULT_CHUNK_SECONDS,
     tie: Sequence[str] = (),
+    locate: bool = False,
 ) -> DataFrame:
     """Step 1: add ``chunk``, ``piece`` and the working columns ``_n _ground _air _event _maybe``.
 
-    ``tie`` orders fixes of equal time, for inputs that are not unique on ``(hex, snapshot_time)``.
+    ``tie`` orders fixes of equal time, for inputs that are not unique on ``(hex, snapshot_time)``. With
+    ``locate``, ``_from_lat`` and ``_from_lon`` hold the last known place of the aircraft within the
+    piece. Everything is computed over one sort, in three window steps that each need the one before.
     """
     t = F.col("snapshot_time")
     by_time = Window.partitionBy("hex", "chunk").orderBy("snapshot_time", *tie)
     earlier = by_time.rowsBetween(Window.unboundedPreceding, -1)
     so_far = by_time.rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    n, no = F.col("_n"), F.lit(False)
 
     rows = (
         fixes.where((F.col("hex") != "") & t.isNotNull())
-        .withColumn("chunk", F.floor(t / chunk_seconds).cast("bigint"))
-        .withColumn("_ground", F.coalesce(F.col("on_ground"), F.lit(False)))
+        .withColumns({
+            "chunk": F.floor(t / chunk_seconds).cast("bigint"),
+            "_ground": F.coalesce(F.col("on_ground"), no),
+        })
         .withColumn("_air", ~F.col("_ground") & (F.coalesce(F.col("alt_baro"), F.lit(0)) > 0))
-        .withColumn("_n", F.row_number().over(by_time))
-        .withColumn("_gap", F.coalesce(t - F.lag(t).over(by_time) > gap_seconds, F.lit(False)))
-        .withColumn("_pair", F.coalesce(F.col("_ground") & F.lag("_ground").over(by_time), F.lit(False)))
+        .withColumns({
+            "_n": F.row_number().over(by_time),
+            "_gap": F.coalesce(t - F.lag(t).over(by_time) > gap_seconds, no),
+            "_pair": F.coalesce(F.col("_ground") & F.lag("_ground").over(by_time), no),
+        })
         .withColumn("_event", F.col("_gap") | F.col("_pair"))
-        .withColumn("_last_air", F.max(F.when(F.col("_air"), F.col("_n"))).over(earlier))
-        .withColumn("_last_event", F.max(F.when(F.col("_event"), F.col("_n"))).over(earlier))
-    )
-    armed_here = F.col("_last_air").isNotNull() & (
-        F.coalesce(F.col("_last_event"), F.lit(0)) <= F.col("_last_air")
-    )
+    )
+    before = {
+        "_last_air": F.max(F.when(F.col("_air"), n)).over(earlier),
+        "_last_event": F.max(F.when(F.col("_event"), n)).over(earlier),
+    }
+    if locate:
+        located = F.col("latitude").isNotNull() & F.col("longitude").isNotNull()
+        for name, value in {"_from_n": n, "_from_lat": F.col("latitude"), "_from_lon": F.col("longitude")}.items():
+            before[name] = F.last(F.when(located, value), ignorenulls=True).over(earlier)
+    armed_here = F.col("_last_air").isNotNull() & (F.coalesce(F.col("_last_event"), F.lit(0)) <= F.col("_last_air"))
     undecided = F.col("_last_air").isNull() & F.col("_last_event").isNull()
-    return (
-        rows.withColumn("_maybe", F.col("_pair") & ~F.col("_gap") & undecided)
+    pieces = (
+        rows.withColumns(before)
+        .withColumn("_maybe", F.col("_pair") & ~F.col("_gap") & undecided)
         .withColumn("_cut", F.col("_gap") | (F.col("_pair") & armed_here) | F.col("_maybe"))
-        .withColumn("piece", F.sum(F.col("_cut").cast("int")).over(so_far).cast("int"))
-        .drop("_gap", "_pair", "_last_air", "_last_event", "_cut")
-    )
+        .withColumns({
+            "piece": F.sum(F.col("_cut").cast("int")).over(so_far).cast("int"),
+            "_start": F.coalesce(F.max(F.when(F.col("_cut"), n)).over(so_far), F.lit(1)),
+        })
+    )
+    if locate:
+        within = F.col("_from_n") >= F.col("_start")
+        pieces = pieces.withColumns({c: F.when(within, F.col(c)) for c in ("_from_lat", "_from_lon")})
+    return pieces.drop("_gap", "_pair", "_last_air", "_last_event", "_cut", "_start", "_from_n")
 
 
 def piece_facts() -> list:

@@ -180,8 +180,8 @@ _TABLES = [
         "hex string, chunk bigint, piece int, first_t bigint, last_t bigint, first_ground boolean, "
         "last_ground boolean, air_n int, event_n int, maybe boolean, callsign string, registration string, "
         "aircraft_type string, emergency string, hub string, "
-        "first_fix struct<latitude:double,longitude:double>, last_fix struct<latitude:double,longitude:double>, "
-        "first_spot struct<lat:double,lon:double>, last_spot struct<lat:double,lon:double>, airborne boolean, "
+        "first_latitude double, last_latitude double, from_latitude double, to_latitude double, "
+        "first_longitude double, last_longitude double, from_longitude double, to_longitude double, airborne boolean, "
         "fix_count bigint, max_alt_ft int, max_ground_speed_kt double, flown double",
         ("day", "first_t"),
     ),
