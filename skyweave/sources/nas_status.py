@@ -37,15 +37,14 @@ NAMED_LEAVES = {
 
 def _fields(element: Column) -> Column:
     """Children and attributes of an element as ``(key, value)`` entries; none for a bare text element."""
-    children = F.when(N.kind(element).startswith("OBJECT"), F.try_variant_get(element, "$", "map<string,variant>"))
+    # The conversion is null for anything but an object; asking for the type would walk the whole subtree.
+    children = F.try_variant_get(element, "$", "map<string,variant>")
     return F.coalesce(F.map_entries(children), F.array().cast("array<struct<key:string,value:variant>>"))
 
 
 def _each(value: Column) -> Column:
     """A repeated child arrives as an array, a single one as itself; both become an array."""
-    return F.when(N.kind(value).startswith("ARRAY"), F.try_variant_get(value, "$", "array<variant>")).otherwise(
-        F.array(value)
-    )
+    return F.coalesce(F.try_variant_get(value, "$", "array<variant>"), F.array(value))
 
 
 def _children(element: Column) -> Column:
