@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
+from skyweave.llm.mixing import op2_mixing
 from skyweave.llm.sharding import op9_sharding
 
 QUERIES = {
+    "op2_mixing": op2_mixing,
     "op9_sharding": op9_sharding,
 }
 
