@@ -3,10 +3,12 @@
 from __future__ import annotations
 
 from skyweave.llm.mixing import op2_mixing
+from skyweave.llm.secrets import op7_secrets
 from skyweave.llm.sharding import op9_sharding
 
 QUERIES = {
     "op2_mixing": op2_mixing,
+    "op7_secrets": op7_secrets,
     "op9_sharding": op9_sharding,
 }
 
