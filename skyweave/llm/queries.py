@@ -3,12 +3,14 @@
 from __future__ import annotations
 
 from skyweave.llm.mixing import op2_mixing
+from skyweave.llm.packing import op4_packing
 from skyweave.llm.secrets import op7_secrets
 from skyweave.llm.sharding import op9_sharding
 from skyweave.llm.simhash import op8_simhash
 
 QUERIES = {
     "op2_mixing": op2_mixing,
+    "op4_packing": op4_packing,
     "op7_secrets": op7_secrets,
     "op8_simhash": op8_simhash,
     "op9_sharding": op9_sharding,
