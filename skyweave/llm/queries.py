@@ -7,6 +7,7 @@ from skyweave.llm.packing import op4_packing
 from skyweave.llm.secrets import op7_secrets
 from skyweave.llm.sharding import op9_sharding
 from skyweave.llm.simhash import op8_simhash
+from skyweave.llm.toxicity import op10_toxicity
 
 QUERIES = {
     "op2_mixing": op2_mixing,
@@ -14,6 +15,7 @@ QUERIES = {
     "op7_secrets": op7_secrets,
     "op8_simhash": op8_simhash,
     "op9_sharding": op9_sharding,
+    "op10_toxicity": op10_toxicity,
 }
 
 ORACLES: dict[str, str] = {}
