@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from skyweave.llm.language_model import op3_language_model
 from skyweave.llm.mixing import op2_mixing
 from skyweave.llm.packing import op4_packing
 from skyweave.llm.secrets import op7_secrets
@@ -11,6 +12,7 @@ from skyweave.llm.toxicity import op10_toxicity
 
 QUERIES = {
     "op2_mixing": op2_mixing,
+    "op3_language_model": op3_language_model,
     "op4_packing": op4_packing,
     "op7_secrets": op7_secrets,
     "op8_simhash": op8_simhash,
