@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from skyweave.llm.language_model import op3_language_model
 from skyweave.llm.mixing import op2_mixing
+from skyweave.llm.neighbours import op1_neighbours
 from skyweave.llm.packing import op4_packing
 from skyweave.llm.secrets import op7_secrets
 from skyweave.llm.sharding import op9_sharding
@@ -12,6 +13,7 @@ from skyweave.llm.toxicity import op10_toxicity
 from skyweave.llm.winnowing import op5_winnowing
 
 QUERIES = {
+    "op1_neighbours": op1_neighbours,
     "op2_mixing": op2_mixing,
     "op3_language_model": op3_language_model,
     "op4_packing": op4_packing,
