@@ -9,6 +9,7 @@ from skyweave.llm.packing import op4_packing
 from skyweave.llm.secrets import op7_secrets
 from skyweave.llm.sharding import op9_sharding
 from skyweave.llm.simhash import op8_simhash
+from skyweave.llm.suffixes import op6_suffixes
 from skyweave.llm.toxicity import op10_toxicity
 from skyweave.llm.winnowing import op5_winnowing
 
@@ -18,6 +19,7 @@ QUERIES = {
     "op3_language_model": op3_language_model,
     "op4_packing": op4_packing,
     "op5_winnowing": op5_winnowing,
+    "op6_suffixes": op6_suffixes,
     "op7_secrets": op7_secrets,
     "op8_simhash": op8_simhash,
     "op9_sharding": op9_sharding,
