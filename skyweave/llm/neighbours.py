@@ -12,12 +12,12 @@ from pyspark.sql import functions as F
 from skyweave.llm.common import small_batches, table
 from skyweave.session import stage
 
-PROJECTIONS = 128
+PROJECTIONS = 64
 SHARE = 0.81  # of the projections that a vector must share a window with to be verified
 REACH = 1.5  # windows of this half-width, in distances of the k-th found, end the search
 GROWTH = 1.4  # of the radius from one level to the next
-LEVELS = 64  # level 0 covers such a part of a projection's values
-BLOCK, QUERIES = 8_192, 512  # vectors and queries that one task compares
+LEVELS = 8  # level 0 covers such a part of a projection's values
+BLOCK, QUERIES = 32_768, 128  # vectors and queries that one task compares
 
 
 class SortedProjections:
@@ -41,7 +41,7 @@ class SortedProjections:
         need = int(np.ceil(SHARE * len(self.values)))
         at = query @ self.lines
         n = len(self.vectors)
-        counts, done = np.zeros(n, dtype=np.int32), np.zeros(n, dtype=bool)
+        counts, done = np.zeros(n, dtype=np.int64), np.zeros(n, dtype=bool)
         if own >= 0:
             done[own] = True
         lows = [int(np.searchsorted(v, x)) for v, x in zip(self.values, at)]
@@ -50,13 +50,13 @@ class SortedProjections:
         best = np.empty(0)
         radius = self.width
         while True:
-            whole = True
+            whole, newly = True, []
             for p, (v, x) in enumerate(zip(self.values, at)):
-                low, high = np.searchsorted(v, (x - radius, x + radius), side="left")
-                counts[self.order[p, low : lows[p]]] += 1
-                counts[self.order[p, highs[p] : high]] += 1
+                low, high = np.searchsorted(v, (x - radius, x + radius), side="left").tolist()
+                newly += [self.order[p, low : lows[p]], self.order[p, highs[p] : high]]
                 lows[p], highs[p] = low, max(high, highs[p])
-                whole &= bool(low == 0 and high == n)
+                whole &= low == 0 and high == n
+            counts += np.bincount(np.concatenate(newly), minlength=n)
             whole |= not np.isfinite(radius)  # values too large for any window
             some = np.flatnonzero(((counts >= need) | whole) & ~done)
             if len(some):
@@ -67,7 +67,7 @@ class SortedProjections:
                 best = np.sort(np.concatenate((best, d)))[:k]
             if whole or (len(best) >= k and radius >= REACH * best[-1]):
                 break
-            radius *= GROWTH
+            radius = min(radius * GROWTH, REACH * best[-1]) if len(best) >= k else radius * GROWTH
         return (np.concatenate(places), np.concatenate(distances)) if places else (np.empty(0, int), np.empty(0))
 
 
