@@ -18,11 +18,11 @@ from skyweave.llm.common import small_batches, table
 from skyweave.session import shared_folder, stage
 
 GRAM = 32  # bytes of an anchor; every passage of the wanted length has one
-BLOCK_BYTES = 4 << 20  # text of a block of documents, at least one document
+BLOCK_BYTES = 2 << 20  # text of a block of documents, at least one document
 CHUNK = 1 << 18  # bytes hashed at once; below 2**POSITION_BITS - 2**18
 POSITION_BITS = 20
-SHARD_HASHES = 1 << 21  # anchors that one task counts, on average
-SORT_BYTES = 6 << 20  # text whose suffixes one task sorts, on average
+SHARD_HASHES = 1 << 19  # anchors that one task counts, on average
+SORT_BYTES = 2 << 20  # text whose suffixes one task sorts, on average
 BUSY = 4_096  # an anchor with more occurrences is dealt out passage by passage
 NO_ID = np.iinfo(np.int64).max  # null ids come last
 M1, M2, M3 = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xC2B2AE3D27D4EB4F), np.uint64(0x165667B19E3779F9)
