@@ -84,7 +84,7 @@ def solve_tilts(spark: SparkSession, profile: DataFrame, targets: DataFrame, rep
 
 def mix(
     spark: SparkSession, docs: DataFrame, weights: tuple[float, ...] = (1, 2, 3), repeats: int = 3,
-    id_col: str = "doc_id", source_col: str = "source", size: Column | None = None, keep: tuple[str, ...] = (),
+    id_col: str = "doc_id", source_col: str = "source", text_col: str = "text", whole_rows: bool = False,
 ) -> DataFrame:
     """Copies of each document such that every source gives its target of tokens.
 
@@ -93,15 +93,17 @@ def mix(
     source (of ``STEPS``) brings the source's total next to its target. Reruns agree.
 
     Null texts have size 0; documents of size 0 keep rate 1 and add nothing. A null source is a source
-    of its own, null ids and repeated rows are kept as documents of their own. Other columns of
-    ``docs`` are dropped but for those in ``keep``. An empty table gives no rows.
+    of its own, null ids and repeated rows are kept as documents of their own. Other columns of ``docs``
+    are dropped, unless ``whole_rows`` asks for the rows themselves as a struct. An empty table gives no rows.
 
-    Returns doc_id, source, size, source_size, target, rate, copies, and the columns of ``keep``.
+    Returns doc_id, source, size, source_size, target, rate, copies, and doc if asked for.
     """
+    keep = ("doc",) if whole_rows else ()
+    docs = docs.select(F.struct("*").alias("doc"))
     rows = stage(spark, docs.select(
-        F.col(id_col).alias("doc_id"), F.col(source_col).alias("source"),
-        F.coalesce(F.concat(F.lit("s"), F.col(source_col)), F.lit("n")).alias("key"),
-        (word_count(F.col("text")) if size is None else size).alias("size"), *keep,
+        F.col(f"doc.{id_col}").alias("doc_id"), F.col(f"doc.{source_col}").alias("source"),
+        F.coalesce(F.concat(F.lit("s"), F.col(f"doc.{source_col}")), F.lit("n")).alias("key"),
+        word_count(F.col(f"doc.{text_col}")).alias("size"), *keep,
     ))
     profile = stage(spark, rows.groupBy("key", "size").agg(F.count(F.lit(1)).alias("n"), F.first("source").alias("source")))
     sizes = profile.groupBy("key").agg(

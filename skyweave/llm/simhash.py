@@ -162,6 +162,13 @@ def fingerprint_links(spark: SparkSession, fps: DataFrame, distance: int) -> Dat
     return dealt.mapInPandas(_links(distance), "a long, b long")
 
 
+def fingerprint_roots(spark: SparkSession, rows: DataFrame, distance: int) -> DataFrame:
+    """fp and root of every fingerprint in ``rows``; equal roots mean one component."""
+    classes = stage(spark, rows.groupBy("fp").agg(F.count(F.lit(1)).alias("n")).select("fp"))
+    roots = components(spark, fingerprint_links(spark, classes, distance))
+    return stage(spark, classes.join(roots.withColumnRenamed("node", "fp"), "fp", "left").select("fp", F.coalesce("root", "fp").alias("root")))
+
+
 def near_duplicates(
     spark: SparkSession, docs: DataFrame, words: int, distance: int, id_col: str = "doc_id", text_col: str = "text"
 ) -> DataFrame:
@@ -176,12 +183,28 @@ def near_duplicates(
     Returns doc_id, fp (signed long), component_id.
     """
     rows = stage(spark, fingerprints(spark, docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text")), words).select("doc_id", "fp"))
-    classes = stage(spark, rows.groupBy("fp").agg(F.min("doc_id").alias("first")))
-    roots = components(spark, fingerprint_links(spark, classes.select("fp"), distance))
-    rooted = classes.join(roots.withColumnRenamed("node", "fp"), "fp", "left").withColumn("root", F.coalesce("root", "fp"))
-    rooted = stage(spark, rooted)
-    least = rooted.groupBy("root").agg(F.min("first").alias("component_id"))
-    return rows.join(rooted.join(least, "root").select("fp", "component_id"), "fp").select("doc_id", "fp", "component_id")
+    roots = fingerprint_roots(spark, rows, distance)
+    firsts = rows.groupBy("fp").agg(F.min("doc_id").alias("first")).join(roots, "fp")
+    least = firsts.groupBy("root").agg(F.min("first").alias("component_id"))
+    return rows.join(stage(spark, roots.join(least, "root").select("fp", "component_id")), "fp").select("doc_id", "fp", "component_id")
+
+
+def deduplicate(
+    spark: SparkSession, docs: DataFrame, words: int, distance: int, id_col: str = "doc_id", text_col: str = "text"
+) -> DataFrame:
+    """``docs`` with one row of each component: that of the least id, of several such the first read.
+
+    Components are those of :func:`near_duplicates`; a null id is kept only where a component has no
+    other. Repeated rows count as copies. All columns stay, whatever their names.
+    """
+    packed = docs.select(F.struct("*").alias("doc"), F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"))
+    # numbers are written with the rows, so they stay the same however often these are read
+    packed = stage(spark, fingerprints(spark, packed, words).select("doc", "doc_id", "fp", F.monotonically_increasing_id().alias("row")))
+    rows = packed.select("doc_id", "fp", "row")
+    roots = fingerprint_roots(spark, rows, distance)
+    first = rows.groupBy("fp").agg(F.min(F.struct(F.col("doc_id").isNull(), "doc_id", "row")).alias("first")).join(roots, "fp")
+    kept = first.groupBy("root").agg(F.min("first").alias("first")).select(F.col("first.row").alias("row"))
+    return packed.select("doc", "row").join(kept, "row", "left_semi").select("doc.*")
 
 
 def op8_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
