@@ -65,7 +65,7 @@ def _next_level(shards: int):
     def deal(pdf: pd.DataFrame) -> pd.DataFrame:
         ids = np.sort(pdf["bucket"].unique())
         parts = np.zeros((len(ids), shards), dtype=np.int64)
-        parts[np.searchsorted(ids, pdf["bucket"]), pdf["part"]] = pdf["bytes"]
+        np.add.at(parts, (np.searchsorted(ids, pdf["bucket"]), pdf["part"].to_numpy()), pdf["bytes"].to_numpy())
         to, _ = difference(parts)
         rows, cols = np.divmod(np.arange(to.size), shards)
         return pd.DataFrame({"bucket": ids[rows], "part": cols, "bytes": parts.ravel(), "up": pdf["up"].iloc[0], "to": to.ravel()})
