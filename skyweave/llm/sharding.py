@@ -13,7 +13,7 @@ from skyweave.llm.common import table, text_key
 from skyweave.session import stage
 
 GROUPS_PER_TASK = 20_000  # groups that one task differences
-PARTS_PER_TASK = 250  # partial partitions that one task combines
+LARGE = 64  # a group is large from such a part of a mean shard on, so at most so many a shard are
 ROWS_PER_RUN = 5_000  # rows numbered together
 
 
@@ -50,25 +50,20 @@ def difference(parts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return out, sums[-1]
 
 
-def _first_level(shards: int):
-    def deal(pdf: pd.DataFrame) -> pd.DataFrame:
-        pdf = pdf.sort_values(["bytes", "key"], ascending=[False, True], kind="stable")
-        parts = np.zeros((len(pdf), shards), dtype=np.int64)
-        parts[:, 0] = pdf["bytes"]
-        to, _ = difference(parts)
-        return pdf.assign(part=to[:, 0])[["key", "bytes", "bucket", "part"]]
+def _deal(shards: int, loads: list[int] | None, share: float):
+    """Difference the groups of a task; ``share`` of the loads that shards already have takes part as one
+    more partial partition, which also tells which shard is which."""
 
-    return deal
-
-
-def _next_level(shards: int):
     def deal(pdf: pd.DataFrame) -> pd.DataFrame:
-        ids = np.sort(pdf["bucket"].unique())
-        parts = np.zeros((len(ids), shards), dtype=np.int64)
-        np.add.at(parts, (np.searchsorted(ids, pdf["bucket"]), pdf["part"].to_numpy()), pdf["bytes"].to_numpy())
+        pdf = pdf.sort_values(["bytes", "key"], ascending=[False, True], kind="stable")
+        parts = np.zeros((len(pdf) + 1, shards), dtype=np.int64)
+        parts[:-1, 0] = pdf["bytes"]
+        if loads is not None:
+            parts[-1] = np.array(loads, dtype=np.float64) * (float(pdf["bytes"].sum()) * share)
         to, _ = difference(parts)
-        rows, cols = np.divmod(np.arange(to.size), shards)
-        return pd.DataFrame({"bucket": ids[rows], "part": cols, "bytes": parts.ravel(), "up": pdf["up"].iloc[0], "to": to.ravel()})
+        name = np.empty(shards, dtype=np.int64)
+        name[to[-1]] = np.arange(shards)
+        return pdf.assign(shard=name[to[:-1, 0]])[["key", "bytes", "shard"]]
 
     return deal
 
@@ -77,9 +72,10 @@ def balanced_shards(spark: SparkSession, docs: DataFrame, shards: int, id_col: s
     """Put documents into shards of near equal bytes; equal texts share a shard.
 
     A group is all documents with one text; it is never divided, so a group above the mean shard makes
-    its shard larger than the others. Tasks difference up to ``GROUPS_PER_TASK`` groups each into one
-    partial partition; further rounds combine partial partitions in the same way, so nothing but
-    ``shards`` sums per task moves up. Nothing is sampled, and reruns agree.
+    its shard larger than the others. The large groups, at most ``LARGE`` per shard, are differenced
+    by one task. The others are dealt to tasks by hash; each differences about ``GROUPS_PER_TASK`` of them
+    together with its share of the loads that the large ones gave the shards, so that it fills up what
+    those left. Nothing is sampled, and reruns agree.
 
     Null texts have ``extra_bytes`` bytes, no checksum, and form one group; empty texts form another.
     Null ids are kept and come first in their shard. Repeated rows are kept. Other columns of ``docs``
@@ -95,23 +91,17 @@ def balanced_shards(spark: SparkSession, docs: DataFrame, shards: int, id_col: s
         text_key(text).alias("key"),
     ))
     groups = stage(spark, rows.groupBy("key").agg(F.sum("size").alias("bytes")))
-    buckets = max(1, -(-groups.count() // GROUPS_PER_TASK))
-    groups = groups.withColumn("bucket", F.pmod(F.xxhash64("key"), F.lit(buckets)))
-    assigned = stage(spark, groups.groupBy("bucket").applyInPandas(_first_level(shards), "key string, bytes long, bucket long, part long"))
-    # (bucket, part) of the first level, the partial partition it is in by now, and its place there
-    places = assigned.groupBy("bucket", "part").agg(F.sum("bytes").alias("bytes"))
-    now = places.select("bucket", "part", "bytes")
-    levels = []
-    while buckets > 1 or not levels:
-        merged = stage(spark, now.withColumn("up", F.floor(F.col("bucket") / PARTS_PER_TASK)).groupBy("up").applyInPandas(
-            _next_level(shards), "bucket long, part long, bytes long, up long, to long"))
-        levels.append(merged)
-        now = merged.select(F.col("up").alias("bucket"), F.col("to").alias("part"), "bytes")
-        buckets = -(-buckets // PARTS_PER_TASK)
-    for merged in levels:
-        step = merged.select("bucket", "part", "up", "to")
-        assigned = assigned.join(step, ["bucket", "part"]).select("key", F.col("up").alias("bucket"), F.col("to").alias("part"))
-    shard_of = assigned.select("key", F.col("part").cast("int").alias("shard"))
+    total = groups.agg(F.sum("bytes")).first()[0] or 0
+    large = F.col("bytes") * (shards * LARGE) >= total
+    schema = "key string, bytes long, shard long"
+    first = stage(spark, groups.where(large).groupBy(F.lit(0).alias("all")).applyInPandas(_deal(shards, None, 0.0), schema))
+    sums = {r["shard"]: r["bytes"] for r in first.groupBy("shard").agg(F.sum("bytes").alias("bytes")).collect()}
+    loads = [sums.get(s, 0) for s in range(shards)]
+    small = groups.where(~large)
+    buckets = max(1, -(-small.count() // GROUPS_PER_TASK))
+    share = 1.0 / max(1, total - sum(loads))
+    second = small.groupBy(F.pmod(F.xxhash64("key"), F.lit(buckets)).alias("bucket")).applyInPandas(_deal(shards, loads, share), schema)
+    shard_of = stage(spark, first.unionByName(second).select("key", F.col("shard").cast("int").alias("shard")))
     placed = stage(spark, rows.join(shard_of, "key").select("doc_id", "size", "text_crc32", "key", "shard"))
     runs = max(16, -(-placed.count() // (shards * ROWS_PER_RUN)))
     placed = placed.withColumn("run", F.pmod(F.xxhash64("doc_id"), F.lit(runs)))

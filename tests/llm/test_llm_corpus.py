@@ -43,10 +43,10 @@ def test_two_ways_are_the_textbook_differencing():
     assert np.ptp(sharding.difference(parts)[1]) == 2  # 8-7, 6-5 leave 4, 1, 1; then 3, 1; then 2
 
 
-@pytest.mark.parametrize(("per_task", "at_once"), [(20_000, 250), (5, 3)])
-def test_sharding(spark, docs, empty, monkeypatch, per_task, at_once):
+@pytest.mark.parametrize(("per_task", "large"), [(20_000, 64), (20, 2), (10, 1)])
+def test_sharding(spark, docs, empty, monkeypatch, per_task, large):
     monkeypatch.setattr(sharding, "GROUPS_PER_TASK", per_task)
-    monkeypatch.setattr(sharding, "PARTS_PER_TASK", at_once)
+    monkeypatch.setattr(sharding, "LARGE", large)
     got = sharding.balanced_shards(spark, docs, 4).collect()
     rows = docs.select("doc_id", "text").collect()
     assert Counter((r["doc_id"], r["size"]) for r in got) == Counter((r["doc_id"], 16 + len((r["text"] or "").encode())) for r in rows)
