@@ -60,6 +60,7 @@ STATE_FIELDS = [
     "baro_altitude", "on_ground", "velocity", "true_track", "vertical_rate", "sensors", "geo_altitude",
     "squawk", "spi", "position_source",
 ]
+# Which of them are numbers.
 STATE_TYPES = {
     "time_position": "bigint", "last_contact": "bigint", "longitude": "double", "latitude": "double",
     "baro_altitude": "double", "velocity": "double", "true_track": "double", "vertical_rate": "double",

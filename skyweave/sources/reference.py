@@ -66,6 +66,7 @@ def parse_runways(raw: DataFrame) -> DataFrame:
     )
 
 
+# Column of the file, column of the table.
 REGISTRY_COLUMNS = {
     "registration": "registration",
     "typecode": "aircraft_type",
