@@ -360,7 +360,7 @@ def publish_gold(spark: SparkSession, sf: str) -> DataFrame:
     root = shared_folder(spark, "lake")
     all_legs = _legs(spark, sf)
     for _ in range(2):
-        pipeline.publish_legs(spark, root, all_legs)
+        pipeline.publish_legs(spark, root, all_legs, all_legs)
     pipeline.publish_dimension(spark, root, _dimension(spark, sf))
     per_day = lake.read_table(spark, root, "fct_flight_leg").groupBy("dt").agg(F.count(F.lit(1)).alias("row_count"))
     versions = lake.read_table(spark, root, "dim_aircraft").agg(F.count(F.lit(1)).alias("row_count"))

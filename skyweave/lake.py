@@ -6,6 +6,7 @@
 
 from __future__ import annotations
 
+import time
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -19,10 +20,9 @@ from skyweave.session import delete, staged
 BRONZE_SCHEMA = (
     "page_id string, captured_at bigint, payload string, sha256 string, source string, dt string, hh string"
 )
-# Where a parsed row came from; the order of these is the order of arrival.
-ARRIVAL = ["_captured_at", "_page_id", "_ordinal"]
-# Above this many partitions a merge finds its partitions with a join instead of a list of values.
-PARTITION_LIST_LIMIT = 2_000
+# Where a parsed row came from; the order of these is the order of arrival. Merged tables store them, so a
+# row that arrived earlier never replaces a later one, whenever it is merged.
+ARRIVAL = {"_captured_at": "bigint", "_page_id": "string", "_ordinal": "bigint"}
 
 
 def exists(spark: SparkSession, path: str) -> bool:
@@ -37,10 +37,19 @@ def exists(spark: SparkSession, path: str) -> bool:
 def archive(payloads: DataFrame, root: str) -> None:
     """Append payloads (``source, page_id, captured_at`` in epoch ms, ``payload``) to the archive.
 
-    The payload text is kept as received and never rewritten; its hash tells copies apart from
-    changes. JSON payloads can be read in canonical form with :func:`canonical_json`.
+    The payload text is kept as received and never rewritten. A page that the archive already holds, with
+    the same hour of capture and the same hash, is not written again. JSON payloads can be read in canonical
+    form with :func:`canonical_json`.
     """
-    bronze_rows(payloads).hint("rebalance", "source", "dt", "hh").write.mode("append").option(
+    spark = payloads.sparkSession
+    page = ["source", "dt", "hh", "page_id", "sha256"]
+    new = bronze_rows(payloads).dropDuplicates(page)
+    if exists(spark, f"{root}/bronze"):
+        stored = spark.read.schema(BRONZE_SCHEMA).parquet(f"{root}/bronze")
+        stored = in_partitions(stored, new.select("source", "dt", "hh").distinct(), ["source", "dt", "hh"])
+        same = [new[c].eqNullSafe(stored[c]) for c in page]
+        new = new.join(stored, same, "left_anti")
+    new.hint("rebalance", "source", "dt", "hh").write.mode("append").option(
         "compression", "zstd"
     ).partitionBy("source", "dt", "hh").parquet(f"{root}/bronze")
 
@@ -97,10 +106,14 @@ def table_path(root: str, name: str) -> str:
     return f"{root}/{TABLES[name].layer}/{name}"
 
 
-def read_table(spark: SparkSession, root: str, name: str) -> DataFrame:
-    """All rows with the declared columns plus the partition columns; a missing table is empty."""
+def read_table(spark: SparkSession, root: str, name: str, arrival: bool = False) -> DataFrame:
+    """All rows with the declared columns plus the partition columns; a missing table is empty.
+
+    ``arrival`` adds the columns that say when a row arrived.
+    """
     table = TABLES[name]
-    where = [f"{c} {table.partition_types[c]}" for c in table.partition_columns]
+    where = [f"{c} {t}" for c, t in ARRIVAL.items()] if arrival else []
+    where += [f"{c} {table.partition_types[c]}" for c in table.partition_columns]
     schema = T.StructType.fromDDL(", ".join([table.ddl, *where]))
     path = table_path(root, name)
     if not exists(spark, path):
@@ -109,13 +122,18 @@ def read_table(spark: SparkSession, root: str, name: str) -> DataFrame:
 
 
 def conform(rows: DataFrame, table: Table) -> DataFrame:
-    """Cast to the declared columns (absent ones become null) and add the partition columns."""
+    """Cast to the declared columns (absent ones become null), add arrival and partition columns.
+
+    Rows that do not say when they arrived count as arrived now.
+    """
     have = set(rows.columns)
     typed = [
         (F.col(f"`{f.name}`") if f.name in have else F.lit(None)).cast(f.dataType).alias(f.name)
         for f in table.schema.fields
     ]
-    extra = [c for c in ARRIVAL if c in have]
+    extra = [(F.col(c) if c in have else F.lit(None)).cast(t).alias(c) for c, t in ARRIVAL.items()]
+    if "_captured_at" not in have:
+        extra[0] = F.lit(int(time.time() * 1000)).cast("bigint").alias("_captured_at")
     shaped = rows.select(*typed, *extra)
     required = [k for k in table.keys if k not in table.nullable_keys]
     return shaped.dropna(subset=required).withColumns(table.partition_values())
@@ -124,30 +142,30 @@ def conform(rows: DataFrame, table: Table) -> DataFrame:
 def in_partitions(df: DataFrame, touched: DataFrame, columns: Sequence[str]) -> DataFrame:
     """Rows of ``df`` in the partitions that ``touched`` (distinct partition values) names.
 
-    Up to a limit the partitions become a literal list, which prunes the scan while planning; beyond
-    it a semi join on the partition columns prunes at run time.
+    The least and greatest value of each column become literal bounds, which prune the scan while
+    planning; a semi join that also matches nulls then picks the partitions exactly.
     """
-    some = touched.limit(PARTITION_LIST_LIMIT + 1).collect()  # short tuples, at most the limit
-    if len(some) > PARTITION_LIST_LIMIT:
-        return df.join(touched, list(columns), "left_semi")
-    wanted = ["/".join(str(v) for v in row) for row in some]
-    return df.where(F.concat_ws("/", *columns).isin(wanted)) if wanted else df.where(F.lit(False))
+    ends = touched.agg(*[f(c).alias(f"{n}_{c}") for c in columns for n, f in (("low", F.min), ("high", F.max))]).first()
+    near = F.lit(True)
+    for c in columns:
+        if ends[f"low_{c}"] is not None:
+            near = near & (F.col(c).between(ends[f"low_{c}"], ends[f"high_{c}"]) | F.col(c).isNull())
+    named = touched.select(*[F.col(c).alias(f"_in_{c}") for c in columns])
+    return df.where(near).join(named, [df[c].eqNullSafe(named[f"_in_{c}"]) for c in columns], "left_semi")
 
 
 def merged(spark: SparkSession, root: str, name: str, new: DataFrame) -> DataFrame:
-    """What the touched partitions hold after merging conformed rows: the last row per key.
+    """What the touched partitions hold after merging conformed rows: per key the row that arrived last.
 
-    Stored rows count as older than any new row; new rows go by their arrival columns.
+    Of rows that arrived together the new one counts as later.
     """
     table = TABLES[name]
-    order = [c for c in ARRIVAL if c in new.columns]
     both = new.withColumn("_new", F.lit(1))
     if exists(spark, table_path(root, name)):
         touched = new.select(*table.partition_columns).distinct()
-        old = in_partitions(read_table(spark, root, name), touched, table.partition_columns)
-        both = both.unionByName(old.withColumn("_new", F.lit(0)), allowMissingColumns=True)
-    kept = keep_last(both, table.keys, ["_new", *order], table.nullable_keys)
-    return kept.drop("_new", *order)
+        old = in_partitions(read_table(spark, root, name, arrival=True), touched, table.partition_columns)
+        both = both.unionByName(old.withColumn("_new", F.lit(0)))
+    return keep_last(both, table.keys, [*ARRIVAL, "_new"], table.nullable_keys).drop("_new")
 
 
 def write_partitions(df: DataFrame, root: str, name: str) -> None:
@@ -166,13 +184,16 @@ def write_partitions(df: DataFrame, root: str, name: str) -> None:
     )
 
 
-def upsert(spark: SparkSession, root: str, name: str, rows: DataFrame) -> None:
-    """Merge rows into a table; running it again changes nothing, and no rows means no write."""
+def upsert(spark: SparkSession, root: str, name: str, rows: DataFrame, is_staged: bool = False) -> None:
+    """Merge rows into a table; running it again changes nothing, and no rows means no write.
+
+    A merge reads its input several times; rows that are not ``is_staged`` already are written once first.
+    """
     new = conform(rows, TABLES[name])
-    if not exists(spark, table_path(root, name)):
+    if is_staged or not exists(spark, table_path(root, name)):
         write_partitions(merged(spark, root, name, new), root, name)
         return
-    with staged(spark, new) as parsed:  # a merge reads its input several times; parse it once
+    with staged(spark, new) as parsed:
         write_partitions(merged(spark, root, name, parsed), root, name)
 
 
@@ -197,12 +218,27 @@ def replace_rows(
         with staged(spark, changes.distinct()) as touched:
             others = in_partitions(stored, touched, parts).join(values, list(on), "left_anti").select(*new.columns)
             with staged(spark, others.unionByName(in_partitions(new, touched, parts))) as result:
-                # A dynamic overwrite leaves partitions alone that get no rows; those are dropped by name.
-                emptied = touched.join(result.select(*parts).distinct(), parts, "left_anti")
-                gone = [row.asDict() for row in emptied.collect()]  # partition names only
                 write_partitions(result, root, name)
-        for partition in gone:
-            drop_partition(spark, root, name, partition)
+                drop_other_partitions(spark, root, name, touched, result)
+
+
+def replace_table(spark: SparkSession, root: str, name: str, rows: DataFrame) -> None:
+    """Make ``rows`` the whole table; partitions without rows go after the others are written."""
+    parts = TABLES[name].partition_columns
+    with staged(spark, conform(rows, TABLES[name]).drop(*ARRIVAL)) as whole:  # may derive from the table itself
+        write_partitions(whole, root, name)
+        drop_other_partitions(spark, root, name, read_table(spark, root, name).select(*parts).distinct(), whole)
+
+
+def drop_other_partitions(spark: SparkSession, root: str, name: str, some: DataFrame, kept: DataFrame) -> None:
+    """Delete the partitions of ``some`` that ``kept`` has no rows for: a dynamic overwrite leaves those alone.
+
+    A failure before this step leaves withdrawn rows visible until the job runs again.
+    """
+    parts = TABLES[name].partition_columns
+    gone = some.select(*parts).join(kept.select(*parts).distinct(), parts, "left_anti")
+    for row in gone.toLocalIterator():  # partition names only, one piece at a time
+        drop_partition(spark, root, name, row.asDict())
 
 
 def drop_partition(spark: SparkSession, root: str, name: str, values: dict[str, object]) -> None:

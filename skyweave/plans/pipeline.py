@@ -8,8 +8,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from skyweave import lake
+from skyweave.operators.identity import aircraft_dimension
+from skyweave.operators.legs import flight_legs
 from skyweave.plans import operations
-from skyweave.schemas import TABLES
 from skyweave.session import staged
 from skyweave.sources import PARSERS
 
@@ -31,7 +32,7 @@ def ingest(spark: SparkSession, root: str, source: str, payloads: DataFrame, run
         try:
             lake.archive(pages, root)
             with staged(spark, parse(pages, source)) as rows:
-                lake.upsert(spark, root, table, rows)
+                lake.upsert(spark, root, table, rows, is_staged=True)
                 if keep_ledger:
                     operations.append(operations.load_ledger(pages, rows, source, table, run_id, started), root, "pipeline_run")
                     fed = operations.lineage(rows, table).withColumn("run_id", F.lit(run_id))
@@ -51,12 +52,31 @@ def replay(spark: SparkSession, root: str, source: str, since: str | None = None
     return table
 
 
-def publish_legs(spark: SparkSession, root: str, legs: DataFrame) -> None:
-    """Replace the legs of every aircraft in ``legs``, each leg in the day it starts."""
-    lake.replace_rows(spark, root, "fct_flight_leg", legs, legs, ["hex"])
+def publish_legs(spark: SparkSession, root: str, legs: DataFrame, recomputed: DataFrame) -> None:
+    """Replace the legs of every aircraft (``hex``) in ``recomputed``, also of those left without any.
+
+    Each leg is stored in the day it starts.
+    """
+    lake.replace_rows(spark, root, "fct_flight_leg", legs, recomputed, ["hex"])
 
 
 def publish_dimension(spark: SparkSession, root: str, versions: DataFrame) -> None:
     """Store all identity versions; the dimension is always replaced as a whole."""
-    with staged(spark, lake.conform(versions, TABLES["dim_aircraft"])) as whole:  # may derive from the table itself
-        lake.write_partitions(whole, root, "dim_aircraft")
+    lake.replace_table(spark, root, "dim_aircraft", versions)
+
+
+def derive_legs(spark: SparkSession, root: str, **options: float) -> None:
+    """Flight legs of all stored positions, with stored airports, to the leg table."""
+    positions = lake.read_table(spark, root, "fct_position")
+    legs = flight_legs(positions, lake.read_table(spark, root, "dim_airport"), **options)
+    publish_legs(spark, root, legs, positions.select("hex").distinct())
+
+
+def derive_dimension(spark: SparkSession, root: str, since: str | None = None) -> None:
+    """Merge stored positions (from the day ``since`` on), with the stored registry, into the dimension."""
+    positions = lake.read_table(spark, root, "fct_position")
+    if since:
+        positions = positions.where(F.col("dt") >= since)
+    registry = lake.read_table(spark, root, "dim_aircraft_registry")
+    stored = lake.read_table(spark, root, "dim_aircraft")
+    publish_dimension(spark, root, aircraft_dimension(positions, stored, registry))

@@ -15,13 +15,16 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 
+NO_VALUE = "__none__"
+
+
 @dataclass(frozen=True)
 class Table:
     name: str
     layer: str
     keys: tuple[str, ...]
     ddl: str
-    # one of ("hour", column), ("day", column), ("bucket", number)
+    # one of ("hour", column), ("day", column), ("month", column of ISO text), ("bucket", number)
     split: tuple[str, str | int]
     nullable_keys: tuple[str, ...] = field(default=())
 
@@ -31,11 +34,11 @@ class Table:
 
     @property
     def partition_columns(self) -> list[str]:
-        return {"hour": ["dt", "hh"], "day": ["dt"], "bucket": ["bucket"]}[self.split[0]]
+        return {"hour": ["dt", "hh"], "day": ["dt"], "month": ["month"], "bucket": ["bucket"]}[self.split[0]]
 
     @property
     def partition_types(self) -> dict[str, str]:
-        return {"dt": "string", "hh": "string", "bucket": "int"}
+        return {"dt": "string", "hh": "string", "month": "string", "bucket": "int"}
 
     def partition_values(self) -> dict[str, Column]:
         """Expressions for the partition columns of a row."""
@@ -44,11 +47,12 @@ class Table:
             return {"bucket": F.pmod(F.xxhash64(*self.keys), F.lit(int(what))).cast("int")}
         column = F.col(str(what))
         if isinstance(self.schema[str(what)].dataType, T.StringType):  # ISO text
-            values = {"dt": F.substring(column, 1, 10), "hh": F.substring(column, 12, 2)}
+            values = {"dt": F.substring(column, 1, 10), "hh": F.substring(column, 12, 2), "month": F.substring(column, 1, 7)}
         else:
             at = F.timestamp_seconds(column)
             values = {"dt": F.date_format(at, "yyyy-MM-dd"), "hh": F.date_format(at, "HH")}
-        return {c: values[c] for c in self.partition_columns}
+        # text too short for a part of the time would be the null partition, which no value equals
+        return {c: F.coalesce(F.nullif(values[c], F.lit("")), F.lit(NO_VALUE)) for c in self.partition_columns}
 
 
 _TABLES = [
@@ -110,7 +114,7 @@ _TABLES = [
         "weather_concerns string, hold_reason string, fail_reason string, pad_name string, pad_latitude double, "
         "pad_longitude double, pad_location string, country_code string, pad_turnaround string, "
         "orbital_attempt_count_year int, webcast_live boolean",
-        ("bucket", 16),
+        ("month", "net"),
     ),
     Table(
         "fct_launch_update", "silver", ("update_id",),
@@ -142,7 +146,7 @@ _TABLES = [
     Table(
         "fct_fuel_price", "silver", ("period", "series"),
         "period string, series string, product string, product_name string, area string, price double, units string",
-        ("bucket", 4),
+        ("month", "period"),
     ),
     Table(
         "dim_airport", "silver", ("ident",),

@@ -52,12 +52,71 @@ def test_merge_leaves_other_partitions_alone(spark, tmp_path):
     assert {r.f for r in table.where("hh = '00'").select(F.col("_metadata.file_path").alias("f")).collect()} == before
 
 
-@pytest.mark.parametrize("limit", [0, 2000])
-def test_partition_choice_by_list_and_by_join(spark, tmp_path, monkeypatch, limit):
-    monkeypatch.setattr(lake, "PARTITION_LIST_LIMIT", limit)
-    df = spark.createDataFrame([("1", "00", 1), ("1", "01", 2), ("2", "00", 3)], "dt string, hh string, v int")
-    touched = spark.createDataFrame([("1", "01"), ("2", "00")], "dt string, hh string")
-    assert rows(lake.in_partitions(df, touched, ["dt", "hh"]), "v") == [(2,), (3,)]
+def test_partition_choice_is_exact_and_prunes(spark, tmp_path):
+    df = spark.createDataFrame([("1", "00", 1), ("1", "01", 2), ("2", "00", 3), (None, "00", 4), ("3", "00", 5)], "dt string, hh string, v int")
+    touched = spark.createDataFrame([("1", "01"), ("2", "00"), (None, "00")], "dt string, hh string")
+    assert rows(lake.in_partitions(df, touched, ["dt", "hh"]), "v") == [(2,), (3,), (4,)]
+    assert lake.in_partitions(df, touched.limit(0), ["dt", "hh"]).count() == 0
+    df.write.partitionBy("dt", "hh").parquet(f"{tmp_path}/t")
+    stored = spark.read.schema("v int, dt string, hh string").parquet(f"{tmp_path}/t")
+    plan = lake.in_partitions(stored, touched, ["dt", "hh"])._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [((dt" in plan or "PartitionFilters: [(((dt" in plan
+
+
+def test_late_pages_do_not_win(spark, tmp_path):
+    root = str(tmp_path)
+    notice = lambda v, at: spark.createDataFrame([("n", v, at)], "notam_id string, type string, _captured_at bigint")
+    lake.upsert(spark, root, "fct_notam", notice("new", 5))
+    lake.upsert(spark, root, "fct_notam", notice("old", 3))
+    assert lake.read_table(spark, root, "fct_notam").first().type == "new"
+    lake.upsert(spark, root, "fct_notam", notice("newest", 6))
+    lake.upsert(spark, root, "fct_notam", spark.createDataFrame([("n", "by hand")], "notam_id string, type string"))
+    assert lake.read_table(spark, root, "fct_notam").first().type == "by hand"
+    assert not set(lake.ARRIVAL) & set(lake.read_table(spark, root, "fct_notam").columns)
+
+
+def test_merge_keeps_rows_of_a_blank_partition(spark, tmp_path):
+    root = str(tmp_path)
+    for number in (1, 2):
+        lake.upsert(spark, root, "fct_orbital_element", spark.createDataFrame([(number, "2026-07-29")], "norad_cat_id int, epoch string"))
+    assert rows(lake.read_table(spark, root, "fct_orbital_element"), "norad_cat_id", "dt", "hh") == [(n, "2026-07-29", "__none__") for n in (1, 2)]
+
+
+def test_replay_of_a_window_keeps_later_values(spark, tmp_path):
+    root, day = str(tmp_path), 86_400_000
+    page = lambda name, at, visib: spark.createDataFrame([(name, at, json.dumps(observations(0, visib)))], "page_id string, captured_at bigint, payload string")
+    pipeline.ingest(spark, root, "metar", page("late", 4 * day, 9), "r1", keep_ledger=False)
+    pipeline.ingest(spark, root, "metar", page("early", 0, 1), "r2", keep_ledger=False)
+    pipeline.replay(spark, root, "metar", until="1970-01-03")
+    assert {r.visibility_sm for r in lake.read_table(spark, root, "fct_weather_obs").collect()} == {9.0}
+    pipeline.ingest(spark, root, "metar", page("late", 4 * day, 9), "r3", keep_ledger=False)
+    assert lake.scan_bronze(spark, root, "metar").count() == 2  # a page that comes again is not archived again
+
+
+def test_publication_takes_rows_back(spark, tmp_path):
+    root = str(tmp_path)
+    legs = lambda data: spark.createDataFrame(data, "leg_id string, hex string, start_time bigint")
+    pipeline.publish_legs(spark, root, legs([("a-0", "a", 0), ("b-0", "b", 0)]), legs([("a-0", "a", 0), ("b-0", "b", 0)]))
+    pipeline.publish_legs(spark, root, legs([("a-0", "a", 0)]), spark.createDataFrame([("a",), ("b",)], "hex string"))
+    assert rows(lake.read_table(spark, root, "fct_flight_leg"), "leg_id") == [("a-0",)]
+    versions = lambda n: spark.createDataFrame([(f"h{i}", i) for i in range(n)], "hex string, valid_from bigint")
+    pipeline.publish_dimension(spark, root, versions(8))
+    pipeline.publish_dimension(spark, root, versions(1))
+    assert rows(lake.read_table(spark, root, "dim_aircraft"), "hex") == [("h0",)]
+
+
+def test_gold_from_stored_tables(spark, tmp_path):
+    root = str(tmp_path)
+    fixes = spark.createDataFrame(random_fixes(5, 40), DDL)
+    airports = spark.createDataFrame(AIRPORTS, "ident string, latitude double, longitude double")
+    lake.upsert(spark, root, "fct_position", fixes)
+    lake.upsert(spark, root, "dim_airport", airports)
+    pipeline.derive_legs(spark, root)
+    direct = flight_legs(lake.read_table(spark, root, "fct_position"), airports)
+    assert rows(lake.read_table(spark, root, "fct_flight_leg"), "leg_id") == rows(direct, "leg_id")
+    for _ in range(2):
+        pipeline.derive_dimension(spark, root)
+    assert lake.read_table(spark, root, "dim_aircraft").groupBy("hex", "valid_from").count().where("count > 1").count() == 0
 
 
 def test_missing_table_is_empty(spark, tmp_path):
@@ -68,7 +127,8 @@ def test_missing_table_is_empty(spark, tmp_path):
 def test_replace_rows_takes_rows_back(spark, tmp_path):
     root = str(tmp_path)
     legs = lambda data: spark.createDataFrame(data, "leg_id string, hex string, start_time bigint")
-    pipeline.publish_legs(spark, root, legs([("a-0", "a", 0), ("a-90000", "a", 90_000), ("b-90000", "b", 90_000), ("c-200000", "c", 200_000)]))
+    first = legs([("a-0", "a", 0), ("a-90000", "a", 90_000), ("b-90000", "b", 90_000), ("c-200000", "c", 200_000)])
+    pipeline.publish_legs(spark, root, first, first)
     scope = spark.createDataFrame([("a",), ("c",)], "hex string")
     lake.replace_rows(spark, root, "fct_flight_leg", legs([("a-50", "a", 50)]), scope, ["hex"])
     assert rows(lake.read_table(spark, root, "fct_flight_leg"), "leg_id", "dt") == [("a-50", "1970-01-01"), ("b-90000", "1970-01-02")]
