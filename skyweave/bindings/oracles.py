@@ -400,7 +400,7 @@ SELECT 'K' || (o_custkey % 25) AS airport, 'Mixed ' || ((o_orderkey // 200) % 3)
        CASE WHEN NOT shut AND NOT inbound THEN (o_orderkey % 60) || ' minutes' END AS departure_delay_min,
        CASE WHEN NOT shut AND NOT inbound THEN '1 hour' END AS departure_delay_max,
        CASE WHEN shut THEN strftime(o_orderdate, '%Y-%m-%d') END AS reopen_time,
-       CASE WHEN shut THEN 'start=0' || o_custkey ELSE 'arrival_departure_' || CASE WHEN inbound THEN 'arrival' ELSE 'departure' END
+       CASE WHEN shut THEN 'deep_a_b_c_d_e=0' || o_custkey || '; k=' || o_orderstatus || '; k1=x; q_007=v; start=0' || o_custkey ELSE 'arrival_departure_' || CASE WHEN inbound THEN 'arrival' ELSE 'departure' END
          || '_trend=' || o_orderstatus END AS extra,
        {nulls('avg_delay:s', 'max_delay:s', 'min_delay:s', 'end_time:s')}
 FROM d"""

@@ -165,18 +165,19 @@ def kp(events: DataFrame) -> DataFrame:
 
 
 def disruption(orders: DataFrame) -> DataFrame:
-    """XML with one block per page: closures in one form, delays with a typed child in another."""
+    """XML with one block per page, seven levels deep: closures in one form, delays with a typed child in another."""
     return _pages(
         orders, "o_orderkey",
         """CASE WHEN o_orderkey % 2 = 0 THEN
              concat('<Airport><ARPT> k', o_custkey % 25, '</ARPT><Reason>', o_orderkey, '</Reason><Start>0', o_custkey, '</Start><Reopen>',
-                    date_format(o_orderdate, 'yyyy-MM-dd'), '</Reopen></Airport>')
+                    date_format(o_orderdate, 'yyyy-MM-dd'), '</Reopen><Deep><A><B><C><D><E>0', o_custkey, '</E></D></C></B></A></Deep>',
+                    '<k1>x</k1><k>1</k><k>', o_orderstatus, '</k><Q no="007">v</Q></Airport>')
            ELSE concat('<Delay><ARPT>k', o_custkey % 25, '</ARPT><Reason>', o_orderkey, '</Reason><Arrival_Departure Type="',
                     CASE WHEN o_orderkey % 4 = 1 THEN 'Arrival' ELSE 'Departure' END, '"><Min>', o_orderkey % 60, ' minutes</Min><Max>1 hour</Max><Trend>',
                     o_orderstatus, '</Trend></Arrival_Departure></Delay>') END""",
         """named_struct('xml', concat('<AIRPORT_STATUS_INFORMATION><Update_Time>', date_format(timestamp_seconds(1704067200 + page * 60), 'EEE MMM d HH:mm:ss yyyy'),
-             ' GMT</Update_Time><Delay_type><Name>Mixed ', page % 3, '</Name><Some_List>', array_join(items, ''),
-             '</Some_List></Delay_type></AIRPORT_STATUS_INFORMATION>'))""",
+             ' GMT</Update_Time><Delay_type><Name>Mixed ', page % 3, '</Name><Some_List><V><W><X><Y><Z>', array_join(items, ''),
+             '</Z></Y></X></W></V></Some_List></Delay_type></AIRPORT_STATUS_INFORMATION>'))""",
     )
 
 

@@ -169,10 +169,14 @@ def unquoted(c: Column) -> Column:
 
 
 def overflow(pairs: Column, named: list[str]) -> Column:
-    """Leaves no column claims, as sorted ``key=value`` text joined by ``; ``."""
+    """Leaves no column claims, as ``key=value`` texts in order of their keys, joined by ``; ``.
+
+    A key that repeats counts once, with its last value.
+    """
     rest = F.filter(pairs, lambda p: ~p["key"].isin(*named))
-    texts = F.array_sort(F.transform(rest, lambda p: F.concat(p["key"], F.lit("="), p["value"])))
-    return blank_to_null(F.array_join(texts, "; "))
+    keys = F.array_sort(F.array_distinct(F.transform(rest, lambda p: p["key"])))
+    last = lambda k: F.element_at(F.filter(rest, lambda p: p["key"] == k), -1)["value"]
+    return blank_to_null(F.array_join(F.transform(keys, lambda k: F.concat(k, F.lit("="), last(k))), "; "))
 
 
 def first_translation(translations: Column) -> Column:

@@ -1,8 +1,9 @@
 """Airport status XML, whose blocks are open-ended.
 
-Any element with an ``ARPT`` child is one programme, whatever its container is called, so blocks
-added later still produce rows. XML is read as VARIANT and searched with array functions down to a
-fixed depth; nothing is shuffled, and pages are exploded once.
+Any element with an ``ARPT`` child is one programme, whatever its container is called and however deep it
+lies, so blocks added later still produce rows. The XML text is cut into tags and texts, and one fold over
+them with a stack of open elements finds programmes and their leaves; text stays text. Nothing is shuffled,
+and pages are exploded once.
 """
 
 from __future__ import annotations
@@ -13,12 +14,14 @@ from pyspark.sql import functions as F
 from skyweave.functions import normalise as N
 from skyweave.sources.pages import ORIGIN
 
-# How far below a block programmes and their leaves are looked for; the published format uses 2 and 2.
-ELEMENT_DEPTH = 4
-LEAF_DEPTH = 3
-
-# from_xml types leaf text ("007" would turn into 7), so text is marked as text before and unmarked after.
-MARK = "~"
+# Comments, CDATA, instructions, tags (quotes may hold angle brackets), text.
+TOKEN = r"""<!--[\s\S]*?-->|<!\[CDATA\[[\s\S]*?\]\]>|<\?[\s\S]*?\?>|<(?:[^<>"']++|"[^"]*+"|'[^']*+')*+>|[^<]+"""
+ATTRIBUTE = r"""[^\s=<>"'/]+\s*=\s*("[^"]*"|'[^']*')"""
+STATE = (
+    "struct<open:array<struct<name:string,key:string,low:int>>,"
+    "texts:array<struct<keys:array<string>,name:string,depth:int,block:int,value:string>>,"
+    "programmes:array<struct<depth:int,low:int,high:int,block:int>>,block:int>"
+)
 
 # Leaf key to column (fixed values).
 NAMED_LEAVES = {
@@ -35,49 +38,63 @@ NAMED_LEAVES = {
 }
 
 
-def _fields(element: Column) -> Column:
-    """Children and attributes of an element as ``(key, value)`` entries; none for a bare text element."""
-    # The conversion is null for anything but an object; asking for the type would walk the whole subtree.
-    children = F.try_variant_get(element, "$", "map<string,variant>")
-    return F.coalesce(F.map_entries(children), F.array().cast("array<struct<key:string,value:variant>>"))
-
-
-def _each(value: Column) -> Column:
-    """A repeated child arrives as an array, a single one as itself; both become an array."""
-    return F.coalesce(F.try_variant_get(value, "$", "array<variant>"), F.array(value))
-
-
-def _children(element: Column) -> Column:
-    inner = F.filter(_fields(element), lambda e: ~e["key"].startswith("_"))
-    return F.flatten(F.transform(inner, lambda e: _each(e["value"])))
-
-
-def _text(value: Column) -> Column:
-    """Trimmed text of an element, with or without attributes; null if it has none."""
-    raw = F.when(N.kind(value).startswith("OBJECT"), N.field(value, "_VALUE")).when(
-        ~N.kind(value).startswith("ARRAY"), F.try_variant_get(value, "$", "string")
-    )
-    return N.blank_to_null(F.trim(F.regexp_replace(raw, f"^{MARK}", "")))
-
-
-def _leaves(element: Column, prefix: Column, depth: int) -> Column:
-    """``(key, value)`` texts below an element; attribute values become part of the key."""
-
-    def below(entry: Column) -> Column:
-        def one(child: Column) -> Column:
-            attributes = F.filter(_fields(child), lambda a: a["key"].startswith("_") & (a["key"] != "_VALUE"))
-            suffix = F.array_join(
-                F.transform(attributes, lambda a: F.concat(F.lit("_"), F.lower(F.try_variant_get(a["value"], "$", "string")))),
-                "",
-            )
-            key = F.concat(prefix, F.lower(entry["key"]), suffix)
-            own = F.array(F.struct(key.alias("key"), _text(child).alias("value")))
-            return F.concat(own, _leaves(child, F.concat(key, F.lit("_")), depth - 1)) if depth > 1 else own
-
-        return F.flatten(F.transform(_each(entry["value"]), one))
+def _unescaped(text: Column) -> Column:
+    """Text with entities resolved; the ampersand comes last, since others may follow from it."""
+    numbers = F.array_distinct(F.regexp_extract_all(text, F.lit(r"&#(x?[0-9A-Fa-f]+);"), 1))
+
+    def one(done: Column, number: Column) -> Column:
+        digits = F.when(number.startswith("x"), F.substring(number, 2, 8)).otherwise(F.conv(number, 10, 16))
+        return F.replace(done, F.concat(F.lit("&#"), number, F.lit(";")), F.decode(F.unhex(F.lpad(digits, 8, "0")), "UTF-32"))
+
+    named = F.aggregate(numbers, text, one)
+    for name, char in (("lt", "<"), ("gt", ">"), ("quot", '"'), ("apos", "'"), ("amp", "&")):
+        named = F.replace(named, F.lit(f"&{name};"), F.lit(char))
+    return F.when(text.contains("&"), named).otherwise(text)
+
+
+def _fold(tokens: Column) -> Column:
+    """Texts of a page, with the keys of the elements around them, and programmes as ranges of texts."""
+
+    def opened(s: Column, token: Column) -> Column:
+        name = F.regexp_extract(token, r"^<([^\s/>]+)", 1)
+        values = F.transform(F.regexp_extract_all(token, F.lit(ATTRIBUTE), 1), lambda v: F.concat(F.lit("_"), F.lower(_unescaped(F.substring(v, F.lit(2), F.char_length(v) - 2)))))
+        key = F.concat(F.lower(name), F.array_join(values, ""))
+        entry = F.struct(name.alias("name"), key.alias("key"), F.size(s["texts"]).alias("low"))
+        block = s["block"] + F.when((F.size(s["open"]) == 1) & (name == "Delay_type"), 1).otherwise(0)
+        return F.struct(F.concat(s["open"], F.array(entry)).alias("open"), s["texts"].alias("texts"), s["programmes"].alias("programmes"), block.alias("block"))
+
+    def closed(s: Column) -> Column:
+        depth = F.size(s["open"])
+        low = F.element_at(s["open"], -1)["low"]
+        inner = F.slice(s["texts"], low + 1, F.size(s["texts"]) - low)
+        names_airport = F.exists(inner, lambda t: (t["depth"] == depth + 1) & (t["name"] == "ARPT"))
+        in_block = (depth >= 2) & (F.element_at(s["open"], 2)["name"] == "Delay_type")
+        found = F.struct(depth.alias("depth"), low.alias("low"), F.size(s["texts"]).alias("high"), s["block"].alias("block"))
+        more = F.when(in_block & names_airport, F.concat(s["programmes"], F.array(found))).otherwise(s["programmes"])
+        return F.struct(F.slice(s["open"], 1, depth - 1).alias("open"), s["texts"].alias("texts"), more.alias("programmes"), s["block"].alias("block"))
+
+    def read(s: Column, value: Column) -> Column:
+        text = F.struct(
+            F.transform(s["open"], lambda e: e["key"]).alias("keys"), F.element_at(s["open"], -1)["name"].alias("name"),
+            F.size(s["open"]).alias("depth"), s["block"].alias("block"), value.alias("value"),
+        )
+        return F.struct(s["open"].alias("open"), F.concat(s["texts"], F.array(text)).alias("texts"), s["programmes"].alias("programmes"), s["block"].alias("block"))
+
+    def step(s: Column, token: Column) -> Column:
+        is_open = F.size(s["open"]) > 0
+        raw = F.when(token.startswith("<![CDATA["), F.substring(token, F.lit(10), F.char_length(token) - 12)).when(~token.startswith("<"), _unescaped(token))
+        value = N.blank_to_null(F.trim(F.regexp_replace(raw, r"^\s+|\s+$", "")))
+        passed = token.startswith("<!") | token.startswith("<?") | token.endswith("/>")
+        return (
+            F.when(value.isNotNull() & is_open, read(s, value))
+            .when(raw.isNotNull() | passed, s)
+            .when(token.startswith("</"), F.when(is_open, closed(s)).otherwise(s))
+            .otherwise(opened(s, token))
+            .cast(STATE)
+        )
 
-    inner = F.filter(_fields(element), lambda e: ~e["key"].startswith("_"))
-    return F.flatten(F.transform(inner, below))
+    start = F.struct(F.array().alias("open"), F.array().alias("texts"), F.array().alias("programmes"), F.lit(0).alias("block")).cast(STATE)
+    return F.aggregate(tokens, start, step)
 
 
 def parse_disruption(pages: DataFrame) -> DataFrame:
@@ -86,55 +103,47 @@ def parse_disruption(pages: DataFrame) -> DataFrame:
     The payload is a JSON object holding the XML text. Malformed XML gives no rows.
     """
     xml = F.from_json("payload", "xml string")["xml"]
-    marked = F.regexp_replace(xml, r">(\s*)([^<>\s][^<>]*)<", f">{MARK}$2<")
     checked = pages.select(
         F.col("captured_at").alias("_captured_at"),
         F.col("page_id").alias("_page_id"),
-        marked.alias("xml"),
+        xml.alias("xml"),
         F.from_xml(xml, "Update_Time string, _corrupt_record string").alias("head"),
     ).where(F.col("xml").isNotNull() & F.col("head._corrupt_record").isNull())
     # Each step has a column of its own, so that no step is evaluated more than once per page.
-    parsed = checked.select(
+    folded = checked.select(
         "_captured_at",
         "_page_id",
         N.weekday_text_to_epoch(F.col("head.Update_Time")).alias("observed_at"),
-        F.expr("from_xml(xml, 'variant')").alias("page"),
-    ).withColumn("blocks", N.part(F.col("page"), "Delay_type"))
-    found = parsed.select(
-        "_captured_at", "_page_id", "observed_at", F.posexplode(_each(F.col("blocks"))).alias("_block", "block")
-    ).withColumn("_level0", F.array("block"))
-    for depth in range(ELEMENT_DEPTH):
-        found = found.withColumn(f"_level{depth + 1}", F.flatten(F.transform(f"_level{depth}", _children)))
-    everywhere = F.concat(*[f"_level{depth}" for depth in range(ELEMENT_DEPTH + 1)])
-    programmes = F.filter(everywhere, lambda e: _text(N.part(e, "ARPT")).isNotNull())
-    rows = (
-        found.withColumn("programmes", programmes)
-        .select(
-            "_captured_at",
-            "_page_id",
-            "observed_at",
-            "_block",
-            F.coalesce(_text(N.part(F.col("block"), "Name")), F.lit("")).alias("delay_type"),
-            F.posexplode("programmes").alias("_pos", "element"),
-        )
-        .withColumn("_ordinal", F.shiftleft(F.col("_block").cast("bigint"), 24) + F.col("_pos"))
-        .withColumn(
-            "leaves",
-            F.filter(
-                _leaves(F.col("element"), F.lit(""), LEAF_DEPTH),
-                lambda p: p["value"].isNotNull() & (p["key"] != "arpt"),
-            ),
-        )
+        _fold(F.regexp_extract_all("xml", F.lit(TOKEN), 0)).alias("page"),
+    )
+    titles = F.filter("page.texts", lambda t: (t["depth"] == 3) & (t["name"] == "Name"))
+    found = folded.select(
+        *[c for c in folded.columns if c != "page"],
+        F.col("page.texts").alias("texts"),
+        titles.alias("titles"),
+        F.posexplode("page.programmes").alias("_ordinal", "programme"),
+    )
+    inner = F.slice("texts", F.col("programme.low") + 1, F.col("programme.high") - F.col("programme.low"))
+    below = lambda t: F.array_join(F.slice(t["keys"], F.col("programme.depth") + 1, t["depth"] - F.col("programme.depth")), "_")
+    title = F.filter("titles", lambda t: t["block"] == F.col("programme.block"))
+    rows = found.select(
+        "_captured_at",
+        "_page_id",
+        F.col("_ordinal").cast("bigint").alias("_ordinal"),
+        "observed_at",
+        F.coalesce(F.try_element_at(title, F.lit(-1))["value"], F.lit("")).alias("delay_type"),
+        F.filter(F.transform(inner, lambda t: F.struct(below(t).alias("key"), t["value"].alias("value"))), lambda p: p["key"] != "").alias("all"),
     )
+    rows = rows.withColumn("leaves", F.filter("all", lambda p: p["key"] != "arpt"))
 
-    def leaf(key: str) -> Column:
-        return F.try_element_at(F.filter("leaves", lambda p: p["key"] == key), F.lit(-1))["value"]
+    def last(pairs: str, key: str) -> Column:
+        return F.try_element_at(F.filter(pairs, lambda p: p["key"] == key), F.lit(-1))["value"]
 
     return rows.select(
         *ORIGIN,
-        F.upper(_text(N.part(F.col("element"), "ARPT"))).alias("airport"),
+        F.upper(last("all", "arpt")).alias("airport"),
         "delay_type",
         "observed_at",
-        *[leaf(key).alias(name) for key, name in NAMED_LEAVES.items()],
+        *[last("leaves", key).alias(name) for key, name in NAMED_LEAVES.items()],
         N.overflow(F.col("leaves"), list(NAMED_LEAVES)).alias("extra"),
     )

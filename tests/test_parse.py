@@ -86,6 +86,15 @@ def test_airport_status_xml(spark):
     assert san.extra == "arrival_departure_departure_trend=Up"
 
 
+def test_xml_of_any_depth(spark):
+    deep = "<a><b><c><d><e><f><Stop><ARPT> jfk </ARPT><p><q q='X &amp; y'><r><s><t><u>007</u></t></s></r></q></p><k1>x</k1><k>y</k><k>z &#233;&#x20AC;</k><Avg/></Stop></f></e></d></c></b></a>"
+    text = f"<?xml version='1.0'?><R><!-- <x> --><Update_Time>Wed Jul 29 14:30:34 2026 GMT</Update_Time><Other><ARPT>no</ARPT></Other><Delay_type><Name>Deep</Name>{deep}</Delay_type><Delay_type><ARPT>lax</ARPT><Reason><![CDATA[a < b]]></Reason></Delay_type></R>"
+    jfk, lax = sorted(parse(spark, "disruption", {"xml": text}), key=lambda r: r.airport)
+    assert (jfk.airport, jfk.delay_type, jfk.observed_at, jfk.avg_delay) == ("JFK", "Deep", 1785335434, None)
+    assert jfk.extra == "k=z é€; k1=x; p_q_x & y_r_s_t_u=007"
+    assert (lax.airport, lax.delay_type, lax.reason, lax.extra) == ("LAX", "", "a < b", None)
+
+
 def test_torn_xml_gives_no_rows(spark):
     assert parse(spark, "disruption", {"xml": XML[:200]}) == []
     assert parse(spark, "disruption", {"xml": "nothing"}) == []
