@@ -458,7 +458,11 @@ def dq_results(spark: SparkSession, sf: str) -> DataFrame:
 
 @query("hazard_exposure")
 def hazard_exposure(spark: SparkSession, sf: str) -> DataFrame:
-    return interval.hazard_exposure(_positions(spark, sf), B.hazards(B.load(spark, sf, "orders")))
+    """Advisories with their validity as the table stores it: epoch text of one feed, ISO text of the other."""
+    hazards = B.hazards(B.load(spark, sf, "orders"))
+    iso = lambda c: F.date_format(F.timestamp_seconds(c), "yyyy-MM-dd'T'HH:mm:ss'Z'")
+    text = lambda c: F.when(F.pmod(F.xxhash64("hazard_id"), F.lit(2)) == 0, F.col(c).cast("string")).otherwise(iso(F.col(c)))
+    return interval.hazard_exposure(_positions(spark, sf), hazards.withColumns({c: text(c) for c in ("valid_from", "valid_to")}))
 
 
 @query("leg_identity_asof")

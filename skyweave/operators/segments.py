@@ -27,6 +27,8 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from skyweave.session import stage
+
 DEFAULT_GAP_SECONDS = 15 * 60
 DEFAULT_CHUNK_SECONDS = 86_400
 
@@ -160,8 +162,12 @@ def segment_fixes(
     chunk_seconds: int = DEFAULT_CHUNK_SECONDS,
     tie: Sequence[str] = (),
 ) -> DataFrame:
-    """Every usable fix with its segment number ``seg``."""
-    local = local_pieces(fixes, gap_seconds, chunk_seconds, tie)
+    """Every usable fix with its segment number ``seg``.
+
+    The windows run once: their result is written to the shared folder and read again, first for the few
+    columns that number the segments, then with them.
+    """
+    local = stage(fixes.sparkSession, local_pieces(fixes, gap_seconds, chunk_seconds, tie))
     facts = local.groupBy("hex", "chunk", "piece").agg(*piece_facts())
     numbered = with_segment(local, number_segments(facts, gap_seconds))
     return numbered.select(*fixes.columns, "seg")
