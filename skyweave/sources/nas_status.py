@@ -8,6 +8,8 @@ and pages are exploded once.
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -17,11 +19,9 @@ from skyweave.sources.pages import ORIGIN
 # Comments, CDATA, instructions, tags (quotes may hold angle brackets), text.
 TOKEN = r"""<!--[\s\S]*?-->|<!\[CDATA\[[\s\S]*?\]\]>|<\?[\s\S]*?\?>|<(?:[^<>"']++|"[^"]*+"|'[^']*+')*+>|[^<]+"""
 ATTRIBUTE = r"""[^\s=<>"'/]+\s*=\s*("[^"]*"|'[^']*')"""
-STATE = (
-    "struct<open:array<struct<name:string,key:string,low:int>>,"
-    "texts:array<struct<keys:array<string>,name:string,depth:int,block:int,value:string>>,"
-    "programmes:array<struct<depth:int,low:int,high:int,block:int>>,block:int>"
-)
+SEGMENT = 64  # tokens folded together
+STACK = "array<struct<name:string,key:string,id:int>>"
+TEXTS = "array<struct<keys:array<string>,ids:array<int>,name:string,depth:int,container:string,value:string>>"
 
 # Leaf key to column (fixed values).
 NAMED_LEAVES = {
@@ -52,49 +52,68 @@ def _unescaped(text: Column) -> Column:
     return F.when(text.contains("&"), named).otherwise(text)
 
 
-def _fold(tokens: Column) -> Column:
-    """Texts of a page, with the keys of the elements around them, and programmes as ranges of texts."""
-
-    def opened(s: Column, token: Column) -> Column:
-        name = F.regexp_extract(token, r"^<([^\s/>]+)", 1)
-        values = F.transform(F.regexp_extract_all(token, F.lit(ATTRIBUTE), 1), lambda v: F.concat(F.lit("_"), F.lower(_unescaped(F.substring(v, F.lit(2), F.char_length(v) - 2)))))
-        key = F.concat(F.lower(name), F.array_join(values, ""))
-        entry = F.struct(name.alias("name"), key.alias("key"), F.size(s["texts"]).alias("low"))
-        block = s["block"] + F.when((F.size(s["open"]) == 1) & (name == "Delay_type"), 1).otherwise(0)
-        return F.struct(F.concat(s["open"], F.array(entry)).alias("open"), s["texts"].alias("texts"), s["programmes"].alias("programmes"), block.alias("block"))
-
-    def closed(s: Column) -> Column:
-        depth = F.size(s["open"])
-        low = F.element_at(s["open"], -1)["low"]
-        inner = F.slice(s["texts"], low + 1, F.size(s["texts"]) - low)
-        names_airport = F.exists(inner, lambda t: (t["depth"] == depth + 1) & (t["name"] == "ARPT"))
-        in_block = (depth >= 2) & (F.element_at(s["open"], 2)["name"] == "Delay_type")
-        found = F.struct(depth.alias("depth"), low.alias("low"), F.size(s["texts"]).alias("high"), s["block"].alias("block"))
-        more = F.when(in_block & names_airport, F.concat(s["programmes"], F.array(found))).otherwise(s["programmes"])
-        return F.struct(F.slice(s["open"], 1, depth - 1).alias("open"), s["texts"].alias("texts"), more.alias("programmes"), s["block"].alias("block"))
-
-    def read(s: Column, value: Column) -> Column:
+def _bound(value: Column, use: Callable[[Column], Column]) -> Column:
+    """``use`` of a value that is computed once, however often it is named there."""
+    return F.element_at(F.transform(F.array(value), use), 1)
+
+
+def _passed(token: Column) -> Column:
+    """Comments, declarations, and elements that hold nothing."""
+    return (token.startswith("<!") & ~token.startswith("<![CDATA[")) | token.startswith("<?") | token.endswith("/>")
+
+
+def _stack(open_: Column, token: Column, at: Column) -> Column:
+    """Open elements after a token; ``at`` becomes the id of an element that it opens."""
+    name = F.regexp_extract(token, r"^<([^\s/>]+)", 1)
+    values = F.transform(
+        F.regexp_extract_all(token, F.lit(ATTRIBUTE), 1), lambda v: F.concat(F.lit("_"), F.lower(_unescaped(F.substring(v, F.lit(2), F.char_length(v) - 2))))
+    )
+    entry = F.struct(name.alias("name"), F.concat(F.lower(name), F.array_join(values, "")).alias("key"), at.alias("id"))
+    is_tag = token.startswith("<") & ~token.startswith("<!") & ~_passed(token)
+    return (
+        F.when(~is_tag, open_)
+        .when(token.startswith("</"), F.slice(open_, 1, F.greatest(F.size(open_) - 1, F.lit(0))))
+        .otherwise(F.concat(open_, F.array(entry)))
+    )
+
+
+def _texts(tokens: Column) -> Column:
+    """Texts of a page in order, each with the keys and ids of the elements around it.
+
+    What a fold carries is copied at every step, so it is kept small: tokens are cut into segments, one
+    fold finds the stack at which each segment begins, and each segment is folded from there by itself.
+    """
+    segments = F.transform(F.sequence(F.lit(0), F.floor((F.greatest(F.size(tokens), F.lit(1)) - 1) / SEGMENT).cast("int")), lambda i: F.slice(tokens, i * SEGMENT + 1, SEGMENT))
+    none = F.array().cast(STACK)
+
+    def walk(open_: Column, segment: Column, first: Column) -> Column:
+        return F.aggregate(
+            F.transform(segment, lambda t, j: F.struct(t.alias("t"), (first + j).alias("at"))), open_, lambda o, x: _stack(o, x["t"], x["at"])
+        )
+
+    def begin(s: Column, x: Column) -> Column:
+        starts = F.concat(s["starts"], F.array(s["open"]))
+        return F.struct(walk(s["open"], x["segment"], x["i"] * SEGMENT).alias("open"), starts.alias("starts"))
+
+    def read(s: Column, x: Column) -> Column:
+        token = x["t"]
+        raw = F.when(token.startswith("<![CDATA["), F.substring(token, F.lit(10), F.char_length(token) - 12)).when(~token.startswith("<"), _unescaped(token))
+        value = N.blank_to_null(F.regexp_replace(raw, r"^\s+|\s+$", ""))
         text = F.struct(
-            F.transform(s["open"], lambda e: e["key"]).alias("keys"), F.element_at(s["open"], -1)["name"].alias("name"),
-            F.size(s["open"]).alias("depth"), s["block"].alias("block"), value.alias("value"),
+            F.transform(s["open"], lambda e: e["key"]).alias("keys"), F.transform(s["open"], lambda e: e["id"]).alias("ids"),
+            F.element_at(s["open"], -1)["name"].alias("name"), F.size(s["open"]).alias("depth"),
+            F.try_element_at(s["open"], F.lit(2))["name"].alias("container"), value.alias("value"),
         )
-        return F.struct(s["open"].alias("open"), F.concat(s["texts"], F.array(text)).alias("texts"), s["programmes"].alias("programmes"), s["block"].alias("block"))
+        more = F.when(value.isNotNull() & (F.size(s["open"]) > 0), F.concat(s["texts"], F.array(text))).otherwise(s["texts"])
+        return F.struct(_stack(s["open"], token, x["at"]).alias("open"), more.alias("texts"))
 
-    def step(s: Column, token: Column) -> Column:
-        is_open = F.size(s["open"]) > 0
-        raw = F.when(token.startswith("<![CDATA["), F.substring(token, F.lit(10), F.char_length(token) - 12)).when(~token.startswith("<"), _unescaped(token))
-        value = N.blank_to_null(F.trim(F.regexp_replace(raw, r"^\s+|\s+$", "")))
-        passed = token.startswith("<!") | token.startswith("<?") | token.endswith("/>")
-        return (
-            F.when(value.isNotNull() & is_open, read(s, value))
-            .when(raw.isNotNull() | passed, s)
-            .when(token.startswith("</"), F.when(is_open, closed(s)).otherwise(s))
-            .otherwise(opened(s, token))
-            .cast(STATE)
-        )
+    def fold(start: Column, x: Column) -> Column:
+        numbered = F.transform(x["segment"], lambda t, j: F.struct(t.alias("t"), (x["i"] * SEGMENT + j).alias("at")))
+        return F.aggregate(numbered, F.struct(start.alias("open"), F.array().cast(TEXTS).alias("texts")), read)["texts"]
 
-    start = F.struct(F.array().alias("open"), F.array().alias("texts"), F.array().alias("programmes"), F.lit(0).alias("block")).cast(STATE)
-    return F.aggregate(tokens, start, step)
+    indexed = F.transform(segments, lambda g, i: F.struct(g.alias("segment"), i.alias("i")))
+    start = F.struct(none.alias("open"), F.array().cast(f"array<{STACK}>").alias("starts"))
+    return _bound(indexed, lambda x: F.flatten(F.zip_with(F.aggregate(x, start, begin)["starts"], x, fold)))
 
 
 def parse_disruption(pages: DataFrame) -> DataFrame:
@@ -109,31 +128,33 @@ def parse_disruption(pages: DataFrame) -> DataFrame:
         xml.alias("xml"),
         F.from_xml(xml, "Update_Time string, _corrupt_record string").alias("head"),
     ).where(F.col("xml").isNotNull() & F.col("head._corrupt_record").isNull())
-    # Each step has a column of its own, so that no step is evaluated more than once per page.
-    folded = checked.select(
+
+    def programme(texts: Column, titles: Column, p: Column) -> Column:
+        own = F.filter(texts, lambda t: F.try_element_at(t["ids"], p["depth"]) == p["id"])
+        below = lambda t: F.array_join(F.slice(t["keys"], p["depth"] + 1, t["depth"] - p["depth"]), "_")
+        pairs = F.transform(own, lambda t: F.struct(below(t).alias("key"), t["value"].alias("value")))
+        title = F.filter(titles, lambda t: F.element_at(t["ids"], 2) == p["block"])
+        return F.struct(
+            F.coalesce(F.try_element_at(title, F.lit(-1))["value"], F.lit("")).alias("delay_type"),
+            F.filter(pairs, lambda q: q["key"] != "").alias("all"),
+        )
+
+    def programmes(texts: Column) -> Column:
+        titles = F.filter(texts, lambda t: (t["depth"] == 3) & (t["name"] == "Name"))
+        airports = F.filter(texts, lambda t: (t["depth"] > 2) & (t["name"] == "ARPT"))
+        # a programme is the element around an ARPT: its id, its depth, and the block it is in
+        elements = F.array_distinct(F.transform(
+            airports, lambda t: F.struct(F.element_at(t["ids"], -2).alias("id"), (t["depth"] - 1).alias("depth"), F.element_at(t["ids"], 2).alias("block"))
+        ))
+        return _bound(titles, lambda named: F.transform(elements, lambda p: programme(texts, named, p)))
+
+    texts = F.filter(_bound(F.regexp_extract_all("xml", F.lit(TOKEN), 0), _texts), lambda t: t["container"] == "Delay_type")
+    rows = checked.select(
         "_captured_at",
         "_page_id",
         N.weekday_text_to_epoch(F.col("head.Update_Time")).alias("observed_at"),
-        _fold(F.regexp_extract_all("xml", F.lit(TOKEN), 0)).alias("page"),
-    )
-    titles = F.filter("page.texts", lambda t: (t["depth"] == 3) & (t["name"] == "Name"))
-    found = folded.select(
-        *[c for c in folded.columns if c != "page"],
-        F.col("page.texts").alias("texts"),
-        titles.alias("titles"),
-        F.posexplode("page.programmes").alias("_ordinal", "programme"),
-    )
-    inner = F.slice("texts", F.col("programme.low") + 1, F.col("programme.high") - F.col("programme.low"))
-    below = lambda t: F.array_join(F.slice(t["keys"], F.col("programme.depth") + 1, t["depth"] - F.col("programme.depth")), "_")
-    title = F.filter("titles", lambda t: t["block"] == F.col("programme.block"))
-    rows = found.select(
-        "_captured_at",
-        "_page_id",
-        F.col("_ordinal").cast("bigint").alias("_ordinal"),
-        "observed_at",
-        F.coalesce(F.try_element_at(title, F.lit(-1))["value"], F.lit("")).alias("delay_type"),
-        F.filter(F.transform(inner, lambda t: F.struct(below(t).alias("key"), t["value"].alias("value"))), lambda p: p["key"] != "").alias("all"),
-    )
+        F.posexplode(_bound(texts, programmes)).alias("_ordinal", "p"),
+    ).select("_captured_at", "_page_id", F.col("_ordinal").cast("bigint").alias("_ordinal"), "observed_at", "p.delay_type", "p.all")
     rows = rows.withColumn("leaves", F.filter("all", lambda p: p["key"] != "arpt"))
 
     def last(pairs: str, key: str) -> Column:
