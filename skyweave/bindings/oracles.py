@@ -528,8 +528,13 @@ UNION ALL SELECT 'orders', count(*), 1 FROM orders UNION ALL SELECT 'lineitem',
 UNION ALL SELECT 'customer', count(*), 1 FROM customer"""
 
 ORACLES["publish_gold"] = f"""{WITH_LEGS}, {DIM}
-SELECT strftime({ts('start_time')}, '%Y-%m-%d') AS dt, count(*) AS row_count, 'fct_flight_leg' AS "table" FROM legs GROUP BY 1
-UNION ALL SELECT 'all', count(*), 'dim_aircraft' FROM dim"""
+SELECT 'fct_flight_leg' AS "table", hex, start_time AS since, registration FROM legs WHERE ascii(right(hex, 1)) % 2 = 0
+UNION ALL SELECT 'dim_aircraft', hex, valid_from, registration FROM dim WHERE ascii(right(hex, 1)) % 2 = 0"""
+
+ORACLES["merge_late_page"] = ORACLES["upsert_merge"]
+ORACLES["replay_window"] = ORACLES["replay_rebuild"]
+ORACLES["merge_blank_partition"] = """
+SELECT CAST(o_orderkey AS INTEGER) AS norad_cat_id, strftime(date_trunc('month', o_orderdate), '%Y-%m-%d') AS epoch FROM orders"""
 
 # ---- SQL surface --------------------------------------------------------------------------------
 

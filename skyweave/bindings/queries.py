@@ -300,6 +300,41 @@ def upsert_merge(spark: SparkSession, sf: str) -> DataFrame:
     return lake.read_table(spark, _two_loads(spark, sf), "fct_notam").select(*_NOTAM_COLUMNS)
 
 
+@query("merge_late_page")
+def merge_late_page(spark: SparkSession, sf: str) -> DataFrame:
+    """The later load is merged first, the earlier one after it: the later values stay."""
+    root = shared_folder(spark, "lake")
+    notices = B.notams(B.load(spark, sf, "orders"))
+    later = notices.where("classification = '1-URGENT'").withColumn("type", F.lit("R"))
+    for rows, at in ((later, 5), (notices, 3)):
+        lake.upsert(spark, root, "fct_notam", rows.withColumn("_captured_at", F.lit(at)))
+    return lake.read_table(spark, root, "fct_notam").select(*_NOTAM_COLUMNS)
+
+
+@query("merge_blank_partition")
+def merge_blank_partition(spark: SparkSession, sf: str) -> DataFrame:
+    """Element sets whose epoch has a day but no hour, merged in two loads into the same partitions."""
+    root = shared_folder(spark, "lake")
+    orders = B.load(spark, sf, "orders")
+    rows = orders.select(F.col("o_orderkey").cast("int").alias("norad_cat_id"), F.date_format(F.date_trunc("month", "o_orderdate"), "yyyy-MM-dd").alias("epoch"))
+    for half in (0, 1):
+        lake.upsert(spark, root, "fct_orbital_element", rows.where(F.col("norad_cat_id") % 2 == half))
+    return lake.read_table(spark, root, "fct_orbital_element").select("norad_cat_id", "epoch")
+
+
+@query("replay_window")
+def replay_window(spark: SparkSession, sf: str) -> DataFrame:
+    """Older versions of all pages come last, and their days are replayed: the table keeps the newer values."""
+    root = shared_folder(spark, "lake")
+    newer = P.notam(B.load(spark, sf, "orders"))
+    older = newer.withColumn("captured_at", F.col("captured_at") - 40 * 86_400_000).withColumn("payload", F.replace("payload", F.lit('"type":"'), F.lit('"type":"was ')))
+    pipeline.ingest(spark, root, "notam", newer, "run-1", keep_ledger=False)
+    pipeline.ingest(spark, root, "notam", older, "run-2", keep_ledger=False)
+    last_day = older.agg(F.date_format(F.timestamp_millis(F.max("captured_at")), "yyyy-MM-dd")).first()[0]
+    pipeline.replay(spark, root, "notam", until=last_day)
+    return lake.read_table(spark, root, "fct_notam").select("notam_id", "icao_location", "type", "formatted_text")
+
+
 @query("read_table")
 def read_table(spark: SparkSession, sf: str) -> DataFrame:
     """A stored table next to one that was never written, which reads as empty."""
@@ -356,27 +391,17 @@ def table_stats(spark: SparkSession, sf: str) -> DataFrame:
 
 @query("publish_gold")
 def publish_gold(spark: SparkSession, sf: str) -> DataFrame:
-    """Legs and dimension written to their tables twice, read back as counts per partition day."""
+    """Legs and dimension published twice; the second time the aircraft of one half have no legs and no versions left."""
     root = shared_folder(spark, "lake")
-    all_legs = _legs(spark, sf)
-    for _ in range(2):
-        pipeline.publish_legs(spark, root, all_legs, all_legs)
-    pipeline.publish_dimension(spark, root, _dimension(spark, sf))
-    per_day = lake.read_table(spark, root, "fct_flight_leg").groupBy("dt").agg(F.count(F.lit(1)).alias("row_count"))
-    versions = lake.read_table(spark, root, "dim_aircraft").agg(F.count(F.lit(1)).alias("row_count"))
-    return per_day.withColumn("table", F.lit("fct_flight_leg")).unionByName(
-        versions.withColumn("dt", F.lit("all")).withColumn("table", F.lit("dim_aircraft"))
-    )
-
-
-# ---- SQL surface --------------------------------------------------------------------------------
-
-
-def _views(spark: SparkSession, sf: str) -> tuple[list[str], list[str]]:
-    tables = {"fct_position": _positions(spark, sf), "fct_notam": B.notams(B.load(spark, sf, "orders"))}
-    for name, df in tables.items():
-        df.createOrReplaceTempView(name)
-    return marts.refresh(tables)
+    all_legs, versions = _legs(spark, sf), _dimension(spark, sf)
+    kept = F.ascii(F.substring("hex", -1, 1)) % 2 == 0
+    pipeline.publish_legs(spark, root, all_legs, all_legs)
+    pipeline.publish_legs(spark, root, all_legs.where(kept), all_legs)
+    pipeline.publish_dimension(spark, root, versions)
+    pipeline.publish_dimension(spark, root, versions.where(kept))
+    legs = lake.read_table(spark, root, "fct_flight_leg").select(F.lit("fct_flight_leg").alias("table"), "hex", F.col("start_time").alias("since"), "registration")
+    stored = lake.read_table(spark, root, "dim_aircraft").select(F.lit("dim_aircraft").alias("table"), "hex", F.col("valid_from").alias("since"), "registration")
+    return legs.unionByName(stored)
 
 
 @query("mart_refresh")
