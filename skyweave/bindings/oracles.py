@@ -476,6 +476,10 @@ SELECT 'a' || c_custkey AS icao24, CASE WHEN c_custkey % 3 = 0 THEN 'N' || c_cus
        c_name AS owner, CAST(c_custkey AS VARCHAR) AS serial_number, {nulls('operator_iata:s', 'operator_callsign:s', 'country:s', 'category:s', 'built:s')}
 FROM customer WHERE c_custkey % 50 <> 0 AND (c_custkey % 3 <> 2 OR c_custkey % 6 = 2)"""
 
+ORACLES["ingest_airports"] = ORACLES["parse_airports"]
+ORACLES["ingest_runways"] = ORACLES["parse_runways"]
+ORACLES["replay_registry"] = ORACLES["parse_registry"]
+
 ORACLES["normalisers"] = """
 SELECT event_id, CASE event_id % 4 WHEN 0 THEN 10e0 WHEN 1 THEN value WHEN 2 THEN 2.5e0 END AS visibility_sm,
        CASE WHEN event_id % 3 = 1 THEN CAST(event_id AS INTEGER) END AS wind_dir_deg,

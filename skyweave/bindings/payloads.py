@@ -213,3 +213,20 @@ def registry_csv(customer: DataFrame) -> DataFrame:
         "c_name AS owner", "CAST(NULL AS STRING) AS country", "CAST(NULL AS STRING) AS categoryDescription", "CAST(NULL AS STRING) AS built",
         "CAST(c_custkey AS STRING) AS serialNumber",
     )
+
+
+def csv_pages(rows: DataFrame, key: str, quote: str) -> DataFrame:
+    """Rows of text as CSV pages: a header line, then one record per row, all fields quoted; ``key`` deals rows to pages."""
+    cell = lambda c: F.concat(F.lit(quote), F.replace(F.coalesce(F.col(f"`{c}`"), F.lit("")), F.lit(quote), F.lit(quote * 2)), F.lit(quote))
+    header = ",".join(f"{quote}{c}{quote}" for c in rows.columns)
+    record = F.concat_ws(",", *[cell(c) for c in rows.columns])
+    return (
+        rows.select(F.pmod(F.xxhash64(key), F.lit(16)).alias("page"), record.alias("record"))
+        .groupBy("page")
+        .agg(F.collect_list("record").alias("records"))
+        .select(
+            F.format_string("page-%08d", "page").alias("page_id"),
+            (F.lit(EPOCH_MS) + F.col("page") * 60_000).cast("bigint").alias("captured_at"),
+            F.concat(F.lit(header + "\n"), F.array_join("records", "\n")).alias("payload"),
+        )
+    )

@@ -14,6 +14,7 @@ from skyweave.functions import geo
 from skyweave.functions import normalise as N
 from skyweave.operators import identity, interval, joins, latest, legs, nearest, segments
 from skyweave.plans import marts, operations, pipeline, quality, warehouse
+from skyweave.schemas import TABLES
 from skyweave.session import configure, shared_folder, stage
 from skyweave.sources import PARSERS, pages, reference
 
@@ -214,6 +215,31 @@ def hazard_counts(spark: SparkSession, sf: str) -> DataFrame:
     return marts.hazard_counts(both)
 
 
+def _through_lake(spark: SparkSession, source: str, payloads: DataFrame, again: bool = False) -> DataFrame:
+    """A reference file's pages ingested, perhaps replayed, and read back from their table."""
+    root = shared_folder(spark, "lake")
+    pipeline.ingest(spark, root, source, payloads, "run-1", keep_ledger=False)
+    if again:
+        pipeline.replay(spark, root, source)
+    table = PARSERS[source].table
+    return lake.read_table(spark, root, table).select(*TABLES[table].schema.names)
+
+
+@query("ingest_airports")
+def ingest_airports(spark: SparkSession, sf: str) -> DataFrame:
+    return _through_lake(spark, "airports", P.csv_pages(P.airports_csv(B.load(spark, sf, "supplier")), "ident", '"'))
+
+
+@query("ingest_runways")
+def ingest_runways(spark: SparkSession, sf: str) -> DataFrame:
+    return _through_lake(spark, "runways", P.csv_pages(P.runways_csv(B.load(spark, sf, "supplier")), "id", '"'))
+
+
+@query("replay_registry")
+def replay_registry(spark: SparkSession, sf: str) -> DataFrame:
+    return _through_lake(spark, "registry", P.csv_pages(P.registry_csv(B.load(spark, sf, "customer")), "serialNumber", "'"), again=True)
+
+
 @query("normalisers")
 def normalisers(spark: SparkSession, sf: str) -> DataFrame:
     """The column normalisers no parse query above shows by itself."""

@@ -11,7 +11,7 @@ from dataclasses import dataclass
 
 from pyspark.sql import DataFrame
 
-from skyweave.sources import advisories, aviation, nas_status, space
+from skyweave.sources import advisories, aviation, nas_status, reference, space
 
 
 @dataclass(frozen=True)
@@ -33,5 +33,8 @@ PARSERS: dict[str, Parser] = {
     "launch_updates": Parser("fct_launch_update", space.parse_launch_updates),
     "orbital": Parser("fct_orbital_element", space.parse_orbital),
     "spaceweather": Parser("fct_space_weather", space.parse_kp),
+    "airports": Parser("dim_airport", reference.parse_airport_pages),
+    "runways": Parser("dim_runway", reference.parse_runway_pages),
+    "registry": Parser("dim_aircraft_registry", reference.parse_registry_pages),
     "fuel": Parser("fct_fuel_price", advisories.parse_fuel),
 }

@@ -2,14 +2,46 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from collections.abc import Sequence
+
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from skyweave.functions import normalise as N
+from skyweave.sources.pages import ORIGIN
 
 OPERATIONAL_KINDS = ("large_airport", "medium_airport", "small_airport")  # fixed values
 
 
+def csv_items(pages: DataFrame, columns: Sequence[str], quote: str) -> DataFrame:
+    """One row per CSV record of archived pages, with ``columns`` by name as text and where it came from.
+
+    A page is CSV text with a header line; quotes are doubled inside quoted fields, which may hold line
+    breaks. Columns that the header lacks are null, and so are empty fields.
+    """
+    q = quote
+    record = f"(?:[^{q}\\r\\n]++|{q}[^{q}]*+{q})++"
+    field = f",((?:[^{q},]++|{q}[^{q}]*+{q})*+)"
+
+    def cells(text: Column) -> Column:
+        bare = lambda f: F.when(f.startswith(q), F.replace(F.substring(f, F.lit(2), F.char_length(f) - 2), F.lit(q * 2), F.lit(q))).otherwise(f)
+        return F.transform(F.regexp_extract_all(F.concat(F.lit(","), text), F.lit(field), 1), lambda f: N.blank_to_null(bare(f)))
+
+    cut = pages.select(
+        F.col("captured_at").alias("_captured_at"), F.col("page_id").alias("_page_id"), F.regexp_extract_all("payload", F.lit(record), 0).alias("records")
+    ).where(F.size("records") > 1)
+    rows = cut.select(
+        "_captured_at", "_page_id", cells(F.col("records")[0]).alias("header"),
+        F.posexplode(F.slice("records", 2, F.size("records"))).alias("_ordinal", "record"),
+    ).withColumn("fields", cells(F.col("record")))
+    named = lambda c: F.get("fields", (F.array_position("header", F.lit(c)) - 1).cast("int"))
+    return rows.select("_captured_at", "_page_id", F.col("_ordinal").cast("bigint").alias("_ordinal"), *[named(c).alias(c) for c in columns])
+
+
+def _origin(raw: DataFrame) -> list[str]:
+    return [c for c in ORIGIN if c in raw.columns]
+
+
 def read_double_quoted(spark: SparkSession, path: str) -> DataFrame:
     """CSV with a header, double quotes doubled inside quoted fields, every column as text."""
     return spark.read.csv(path, header=True, quote='"', escape='"', multiLine=True, mode="PERMISSIVE")
@@ -28,6 +60,7 @@ def parse_airports(raw: DataFrame, operational_only: bool = True) -> DataFrame:
     rows = raw.where(F.col("type").isin(*OPERATIONAL_KINDS)) if operational_only else raw
     some = lambda c: N.blank_to_null(F.col(c))
     return rows.select(
+        *_origin(raw),
         "ident",
         some("icao_code").alias("icao"),
         some("iata_code").alias("iata"),
@@ -55,6 +88,7 @@ def parse_runways(raw: DataFrame) -> DataFrame:
             N.text_to_real(F.col(f"{end}_heading_degT")).alias(f"{end}_heading_deg"),
         ]
     return raw.select(
+        *_origin(raw),
         F.col("id").alias("runway_id"),
         "airport_ident",
         N.text_to_whole(F.col("length_ft")).alias("length_ft"),
@@ -87,9 +121,33 @@ REGISTRY_COLUMNS = {
 def parse_registry(raw: DataFrame, identified_only: bool = True) -> DataFrame:
     """Airframes; the operator's display name is never filled in from its code, nor the reverse."""
     rows = raw.select(
+        *_origin(raw),
         F.lower(N.unquoted(F.col("icao24"))).alias("icao24"),
         *[N.unquoted(F.col(source)).alias(name) for source, name in REGISTRY_COLUMNS.items()],
     ).where(F.col("icao24").isNotNull())
     if identified_only:
         rows = rows.where(F.coalesce("registration", "aircraft_type", "operator").isNotNull())
     return rows
+
+
+# The columns read from each file.
+AIRPORT_FILE = (
+    "ident", "icao_code", "iata_code", "name", "type", "latitude_deg", "longitude_deg", "elevation_ft", "continent",
+    "iso_country", "iso_region", "municipality", "scheduled_service",
+)
+RUNWAY_FILE = (
+    "id", "airport_ident", "length_ft", "width_ft", "surface", "lighted", "closed", "le_ident", "le_latitude_deg",
+    "le_longitude_deg", "le_heading_degT", "he_ident", "he_latitude_deg", "he_longitude_deg", "he_heading_degT",
+)
+
+
+def parse_airport_pages(pages: DataFrame) -> DataFrame:
+    return parse_airports(csv_items(pages, AIRPORT_FILE, '"'))
+
+
+def parse_runway_pages(pages: DataFrame) -> DataFrame:
+    return parse_runways(csv_items(pages, RUNWAY_FILE, '"'))
+
+
+def parse_registry_pages(pages: DataFrame) -> DataFrame:
+    return parse_registry(csv_items(pages, ("icao24", *REGISTRY_COLUMNS), "'"))

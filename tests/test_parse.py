@@ -95,6 +95,16 @@ def test_xml_of_any_depth(spark):
     assert (lax.airport, lax.delay_type, lax.reason, lax.extra) == ("LAX", "", "a < b", None)
 
 
+def test_reference_pages(spark):
+    page = "'registration','icao24','x','operator'\r\n'N1','ABC','','O''Neil, ''the\nsecond'''\n,DEF,,\n'','GHI'\n"
+    data = spark.createDataFrame([("p", 1, page), ("q", 2, "'icao24'\n"), ("r", 3, "")], "page_id string, captured_at bigint, payload string")
+    (row,) = PARSERS["registry"].parse(data).collect()
+    assert (row.icao24, row.registration, row.operator, row.owner, row._page_id) == ("abc", "N1", "O'Neil, 'the\nsecond", None, "p")
+    bare = 'id,ident,type,name,latitude_deg\n1,KX,small_airport,"A ""b"", c",12.5\n2,KY,heliport,y,1\n'
+    (row,) = PARSERS["airports"].parse(spark.createDataFrame([("p", 1, bare)], "page_id string, captured_at bigint, payload string")).collect()
+    assert (row.ident, row.name, row.latitude, row.icao) == ("KX", 'A "b", c', 12.5, None)
+
+
 def test_torn_xml_gives_no_rows(spark):
     assert parse(spark, "disruption", {"xml": XML[:200]}) == []
     assert parse(spark, "disruption", {"xml": "nothing"}) == []
