@@ -57,6 +57,22 @@ def shared_folder(spark: SparkSession, purpose: str) -> str:
     return f"{base.rstrip('/')}/{purpose}-{uuid.uuid4().hex[:12]}"
 
 
+# Folders that this driver has staged rows in and that are still there.
+_STAGES: list[str] = []
+
+
+def clear_stages(spark: SparkSession) -> int:
+    """Delete everything :func:`stage` has written in this driver; returns how many folders that were.
+
+    To be called once the results that rest on staged rows are written, at the end of a job. What a driver
+    leaves behind when it dies is up to the shared folder's retention.
+    """
+    count = len(_STAGES)
+    while _STAGES:
+        delete(spark, _STAGES.pop())
+    return count
+
+
 def _write_stage(spark: SparkSession, rows: DataFrame) -> tuple[str, DataFrame]:
     path = shared_folder(spark, "stage")
     rows.write.option("compression", "zstd").parquet(path)
@@ -68,9 +84,11 @@ def stage(spark: SparkSession, rows: DataFrame) -> DataFrame:
 
     For results that are read more than once and are much smaller than what they were computed from.
     Their lineage ends there, so a lost executor costs no recomputation. The files stay, as the
-    result may be read at any later time; the shared folder's own retention clears them.
+    result may be read at any later time, until :func:`clear_stages` deletes them.
     """
-    return _write_stage(spark, rows)[1]
+    path, df = _write_stage(spark, rows)
+    _STAGES.append(path)
+    return df
 
 
 @contextmanager

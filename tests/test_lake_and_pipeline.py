@@ -14,6 +14,7 @@ from skyweave.operators.latest import keep_last
 from skyweave.operators.legs import flight_legs
 from skyweave.plans import pipeline, quality, warehouse
 from skyweave.schemas import TABLES
+from skyweave.session import clear_stages, stage
 
 NOTAM = "notam_id string, location string, type string"
 
@@ -119,6 +120,13 @@ def test_gold_from_stored_tables(spark, tmp_path):
     assert lake.read_table(spark, root, "dim_aircraft").groupBy("hex", "valid_from").count().where("count > 1").count() == 0
 
 
+def test_stages_are_cleared(spark):
+    kept = stage(spark, spark.range(5))
+    assert kept.count() == 5
+    path = kept.inputFiles()[0].rsplit("/", 1)[0]
+    assert clear_stages(spark) > 0 and not lake.exists(spark, path) and clear_stages(spark) == 0
+
+
 def test_missing_table_is_empty(spark, tmp_path):
     df = lake.read_table(spark, str(tmp_path), "dim_runway")
     assert df.isEmpty() and set(TABLES["dim_runway"].schema.names) < set(df.columns)
