@@ -135,7 +135,7 @@ def train(
     At most ``toxic_rows`` and ``clean_rows`` rows are taken, those with the least hash of the id; the bias
     is then set for the share of toxic rows among all labelled ones. The rows are turned into terms by
     tasks, and one task fits the model on them. Null labels and ids are passed over, an id labelled more
-    than once counts with its highest label. Without labelled rows every score is 0.
+    than once counts with its highest label, and of documents that share an id one is taken. Without labelled rows every score is 0.
     """
     small_batches(spark)
     marked = labels.select(F.col(id_col).alias("doc_id"), F.col(label_col).cast("int").alias("y")).where("doc_id is not null and y in (0, 1)")
