@@ -32,7 +32,7 @@ ALLOWED = (
     r"(?i)^[0-9a-f]{8}(-[0-9a-f]{4}){3}-[0-9a-f]{12}$",  # UUID
     r"^[0-9_=+/-]+$",  # numbers, dates, rules
     r"(?i)0123456789|abcdefghij|example|placeholder|xxxxxx",  # stated stand-ins
-    r"^[A-Za-z]+([/_=-]+[A-Za-z]*)*$",  # words joined to a path or a name
+    r"^[A-Za-z]+(?:[/_=-]+[A-Za-z]+)*[/_=-]*$",  # words joined to a path or a name; only one way to match
 )
 
 

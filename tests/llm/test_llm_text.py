@@ -4,8 +4,11 @@ from __future__ import annotations
 
 import math
 import re
+import subprocess
+import sys
 import zlib
 from collections import Counter, defaultdict
+from pathlib import Path
 
 import numpy as np
 import public_tokenizers
@@ -47,6 +50,17 @@ def test_secret_kinds(text, kinds):
     assert ("entropy" in {k for k, *_ in found}) >= ("entropy" in kinds)
 
 
+@pytest.mark.parametrize("rule", ["-", "_", "=", "/", "-=_/"])
+def test_a_long_rule_takes_no_long_time(rule):
+    """In a process of its own, since a pattern that backtracks cannot be stopped from within."""
+    code = (
+        "import re; from skyweave.llm import secrets as s;"
+        "allowed = re.compile('|'.join(f'(?i:{p[4:]})' if p.startswith('(?i)') else f'(?:{p})' for p in s.ALLOWED));"
+        f"assert s.find_spans('Chapter' + {rule!r} * 400 + '1', s.CLASSES, allowed) == []"
+    )
+    subprocess.run([sys.executable, "-c", code], check=True, timeout=60, cwd=Path(__file__).parents[2])
+
+
 def test_window_entropy_is_that_of_each_window():
     rng = np.random.default_rng(3)
     for _ in range(30):
