@@ -21,41 +21,67 @@ ASSIGN = re.compile(r"""(password|passwd|secret|token|api_?key)["']?\x20*[:=]\x2
 ASSIGN_LEAST = 8
 ACCESS = re.compile(r"AKIA[A-Z0-9]{12,}")
 HEX = re.compile(r"[0-9a-f]{32,}")
-# A character class: its maximal runs are candidates, windows of `width` characters with at least `bits` of
-# entropy and at least `digits` digits are secret. Words of a language stay well below on both counts.
+# A character class: its maximal runs are candidates. Windows of `width` characters are secret with at least `bits`
+# of entropy, at least `digits` digits and at least `breaks` neighbours that words and numbers seldom have. The wide
+# windows are for keys that look like words with numbers, the others for short ones and those of letters only.
 CLASSES = (
     {"name": "hex", "run": re.compile(r"[0-9A-Fa-f]{20,}"), "width": 20, "bits": 2.9, "digits": 5},
     {"name": "base64", "run": re.compile(r"[0-9A-Za-z+/_=-]{20,}"), "width": 20, "bits": 3.7, "digits": 2},
+    {"name": "short hex", "run": re.compile(r"[0-9A-Fa-f]{16,}"), "width": 16, "bits": 2.7, "digits": 0, "breaks": 3},
+    {"name": "short base64", "run": re.compile(r"[0-9A-Za-z+/_=-]{16,}"), "width": 16, "bits": 3.0, "digits": 0, "breaks": 9},
 )
-# Candidates that are no secrets although they look random: a string is let pass if one of these matches it.
+# Strings that are no secrets although they look random: what matches one of these is cut out of a candidate,
+# and what is left on either side is looked at.
 ALLOWED = (
     r"(?i)^[0-9a-f]{8}(-[0-9a-f]{4}){3}-[0-9a-f]{12}$",  # UUID
     r"^[0-9_=+/-]+$",  # numbers, dates, rules
     r"(?i)0123456789|abcdefghij|example|placeholder|xxxxxx",  # stated stand-ins
-    r"^[A-Za-z]+(?:[/_=-]+[A-Za-z]+)*[/_=-]*$",  # words joined to a path or a name; only one way to match
 )
+# The 150 most frequent letter pairs of English prose, 87 % of its pairs; of random pairs they are 22 %.
+COMMON = frozenset(
+    "ab ac ad ag ai al am an ap ar as at ba be bj bl bu ca ce ch ci ck cl co ct da de di do ea ec ed ee ef el em en ep er es et ex fa "
+    "fi fo fr fu ge gi ha he hi ho ic id ie ig il im in io ir is it iv je ke la le li ll lo ls lt lu ly ma me mo mp na nc nd ne ng ni "
+    "no ns nt ob oc od ol om on op or os ot ou ow pa pe pl po pr pt qu ra re rg ri rm rn ro rr rs rt ru ry se si so sp ss st su ta te "
+    "th ti to tr ts tt tu ty ue ul um un up ur us ut va ve wh wi xt".split()
+)
+
+
+def unusual(a: str, b: str) -> bool:
+    """If ``b`` seldom follows ``a`` in words, numbers and names joined from them: a letter beside a digit, a capital
+    after a small letter, or a pair not in ``COMMON``. Repeats and the order of the alphabet are usual, and so is
+    what stands beside a separator."""
+    if not (a.isalnum() and b.isalnum()) or a.isdigit() and b.isdigit():
+        return False
+    if a.isdigit() or b.isdigit() or a.islower() and b.isupper():
+        return True
+    return abs(ord(a) - ord(b)) > 1 and (a + b).lower() not in COMMON
 
 
-def entropy_spans(candidate: str, width: int, bits: float, digits: int) -> Iterator[tuple[int, int]]:
-    """Unions of the windows of ``candidate`` that reach ``bits``; counts change by two characters a step."""
+def entropy_spans(candidate: str, width: int, bits: float, digits: int, breaks: int = 0) -> Iterator[tuple[int, int]]:
+    """Unions of the windows of ``candidate`` that reach ``bits``, ``digits`` and ``breaks``; counts change by two
+    characters a step."""
     gain = [0.0] + [c * math.log2(c) for c in range(1, width + 1)]
     counts: dict[str, int] = {}
     inner = 0.0  # sum of c log2 c over the window
     number = 0
+    odd = [False, *map(unusual, candidate, candidate[1:])] if breaks else [False] * len(candidate)  # after the character before
+    broken = 0
     start = end = -1
     for i, char in enumerate(candidate):
         c = counts.get(char, 0)
+        broken += odd[i]
         if i >= width:
             old = candidate[i - width]
             n = counts[old]
             inner += gain[n - 1] - gain[n]
             counts[old] = n - 1
             number -= old.isdigit()
+            broken -= odd[i - width + 1]
             c = counts.get(char, 0)
         counts[char] = c + 1
         inner += gain[c + 1] - gain[c]
         number += char.isdigit()
-        if i >= width - 1 and number >= digits and math.log2(width) - inner / width >= bits:
+        if i >= width - 1 and number >= digits and broken >= breaks and math.log2(width) - inner / width >= bits:
             low = i - width + 1
             if start >= 0 and low <= end:
                 end = i + 1
@@ -67,12 +93,21 @@ def entropy_spans(candidate: str, width: int, bits: float, digits: int) -> Itera
         yield start, end
 
 
+def pieces(run: str, allowed: re.Pattern | None) -> Iterator[tuple[int, str]]:
+    """Where what is left of a candidate begins, and what it is, without the matches of ``allowed``."""
+    at = 0
+    for m in allowed.finditer(run) if allowed else ():
+        yield at, run[at : m.start()]
+        at = m.end()
+    yield at, run[at:]
+
+
 def find_spans(text: str | None, classes: Iterable[dict] = CLASSES, allowed: re.Pattern | None = None) -> list[tuple[str, int, int]]:
     """(kind, start, end) of every secret, by start, then kind as in ``KINDS``; null texts have none.
 
     Positions count code points, ends are exclusive. Spans of one pattern never overlap each other;
-    entropy spans are found by themselves and may overlap those of the patterns. ``allowed`` only lets
-    candidates of the entropy scan pass.
+    entropy spans are found by themselves and may overlap those of the patterns and each other. ``allowed`` is
+    cut out of the candidates of the entropy scan only.
     """
     if not text:
         return []
@@ -82,8 +117,9 @@ def find_spans(text: str | None, classes: Iterable[dict] = CLASSES, allowed: re.
     extra: set[tuple[int, int]] = set()
     for kind in classes:
         for m in kind["run"].finditer(text):
-            if allowed is None or not allowed.search(m.group()):
-                extra.update((a + m.start(), b + m.start()) for a, b in entropy_spans(m.group(), kind["width"], kind["bits"], kind["digits"]))
+            for at, piece in pieces(m.group(), allowed):
+                at += m.start()
+                extra.update((a + at, b + at) for a, b in entropy_spans(piece, kind["width"], kind["bits"], kind["digits"], kind.get("breaks", 0)))
     found += [("entropy", a, b) for a, b in extra]
     return sorted(found, key=lambda s: (s[1], KINDS.index(s[0]), s[2]))
 

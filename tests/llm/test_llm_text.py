@@ -50,6 +50,37 @@ def test_secret_kinds(text, kinds):
     assert ("entropy" in {k for k, *_ in found}) >= ("entropy" in kinds)
 
 
+KEY = "AKzQ83hd72LmPq91xWv0TtB4nZs6"
+
+
+@pytest.mark.parametrize(
+    ("text", "secret"),
+    [
+        ("//example/" + KEY, KEY), ("example_id=" + KEY, KEY), (KEY + "placeholder" + KEY[::-1], KEY), (KEY + "xxxxxx" + KEY[::-1], KEY[::-1]),
+        ("key K7fQ2xVb9LpT4mZw here", "K7fQ2xVb9LpT4mZw"), ("key 9f3a7c1e5b8d2f60 here", "9f3a7c1e5b8d2f60"),  # 16 characters
+        ("key QzKwVbXjTpLmRgHdNcYf here", "QzKwVbXjTpLmRgHdNcYf"), ("key qzkwvbxjtplmrghdncyf here", "qzkwvbxjtplmrghdncyf"),  # letters only
+        ("abc123def456ghi789jkl012", "abc123def456ghi789jkl012"),
+    ],
+)
+def test_keys_beside_stand_ins_and_short_keys(text, secret):
+    allowed = re.compile("|".join(f"(?i:{p[4:]})" if p.startswith("(?i)") else f"(?:{p})" for p in secrets.ALLOWED))
+    gone = {i for k, a, b in secrets.find_spans(text, secrets.CLASSES, allowed) if k == "entropy" for i in range(a, b)}
+    assert gone >= set(range(text.index(secret), text.index(secret) + len(secret)))
+
+
+@pytest.mark.parametrize(
+    "text",
+    [
+        "internationalization", "getUserNameFromDatabase", "path/to/some/quite/long/file/name/here", "2024-01-01_2024-02-02", "4668613405000675",
+        "abcdefghijklmnopqrstuvwxyz0123456789", "-" * 40, "x" * 40, "example_placeholder_example", "MAX_BUFFER_SIZE_BYTES",
+        "Rechtsschutzversicherungsgesellschaften", "anticonstitutionnellement", "123e4567-e89b-12d3-a456-426614174000",
+    ],
+)
+def test_words_and_numbers_are_no_keys(text):
+    allowed = re.compile("|".join(f"(?i:{p[4:]})" if p.startswith("(?i)") else f"(?:{p})" for p in secrets.ALLOWED))
+    assert secrets.find_spans(text, secrets.CLASSES, allowed) == []
+
+
 @pytest.mark.parametrize("rule", ["-", "_", "=", "/", "-=_/"])
 def test_a_long_rule_takes_no_long_time(rule):
     """In a process of its own, since a pattern that backtracks cannot be stopped from within."""
