@@ -23,16 +23,20 @@ LINEAR = 2048  # cost of a token, where a pair of tokens of one piece costs 1
 
 def load_encoding(path: str) -> tiktoken.Encoding:
     """The byte-level BPE of a tokenizer file. Ids of such a vocabulary are its merge ranks, so tiktoken
-    gives the same ids several times faster. Strings of special tokens are ordinary text."""
+    gives the same ids several times faster. Strings of the file's added tokens are single tokens, also inside
+    a text, when ``allowed_special`` is "all". Flags that make an added token take in white space, need whole words
+    or match by a normalised text are refused, as tiktoken does not know them."""
     with open(path, encoding="utf-8") as f:
         model = json.load(f)
-    special = {t["content"] for t in model["added_tokens"]}
+    if any(t["lstrip"] or t["rstrip"] or t["single_word"] or t["normalized"] and model["normalizer"] for t in model["added_tokens"]):
+        raise ValueError("flags of added tokens that are not supported")
+    special = {t["content"]: t["id"] for t in model["added_tokens"]}
     # the byte alphabet of byte-level BPE: printable Latin-1 stands for itself, other bytes for 256 and up
     printable = [*range(33, 127), *range(161, 173), *range(174, 256)]
     other = [b for b in range(256) if b not in set(printable)]
     byte_of = {chr(b): b for b in printable} | {chr(256 + i): b for i, b in enumerate(other)}
     ranks = {bytes(byte_of[c] for c in token): i for token, i in model["model"]["vocab"].items() if token not in special}
-    return tiktoken.Encoding("file", pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens={})
+    return tiktoken.Encoding("file", pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens=special)
 
 
 def pack_block(lengths: np.ndarray, capacity: int, linear: int = LINEAR) -> tuple[list[tuple[int, int, int, int, int]], int]:
@@ -80,7 +84,7 @@ def pack(
     """Pieces of documents packed into sequences of at most ``capacity`` (a power of two) tokens.
 
     Each task packs its own documents in blocks of about ``BLOCK_TOKENS``, so no text is shuffled; a
-    document is never split over blocks. Sequence ids hold the task's partition and count up from there,
+    document is never split over blocks. Strings of the tokenizer's added tokens become their ids. Sequence ids hold the task's partition and count up from there,
     so a task that runs again gives the same ones. Null and empty texts are a single end id. Null ids
     and repeated rows are packed like others. Other columns are not looked at. An empty table gives no
     rows. Costs are estimated as ``LINEAR`` a token plus one a pair of tokens of one piece.
@@ -113,7 +117,7 @@ def pack(
 
         for pdf in batches:
             for name, text in zip(pdf["doc_id"], pdf["text"]):
-                tokens = np.asarray(encoding.encode_to_numpy(text or "", disallowed_special=()), dtype="<u4")
+                tokens = np.asarray(encoding.encode_to_numpy(text or "", allowed_special="all"), dtype="<u4")
                 names.append(None if name is None else int(name))
                 ids.append(np.append(tokens, np.array([END], dtype="<u4")))
                 held += len(ids[-1])

@@ -235,6 +235,22 @@ def test_packing_is_an_exact_round_trip(spark, docs, empty):
     assert packing.pack(spark, empty, public_tokenizers.path("byte_bpe_50k.json")).count() == 0
 
 
+def test_added_tokens_have_the_ids_of_the_file(spark):
+    texts = [
+        "hello <|endoftext|> world", "<|endoftext|>", "a<|endoftext|><|endoftext|>b", "  <|endoftext|>\n\n<|endoftext|>  ", "<|endoftext|", "<|ENDOFTEXT|>",
+        "Ünï😀<|endoftext|>ö", "<<|endoftext|>>", "don't<|endoftext|>'s", "plain  text\n here",
+    ]
+    path = public_tokenizers.path("byte_bpe_50k.json")
+    rows = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    got = {r["doc_id"]: (list(r["ids"]), r["doc_tokens"]) for r in packing.pack(spark, rows.coalesce(1), path, with_ids=True, capacity=1 << 12).collect() if r["start"] == 0}
+    tokenizer = Tokenizer.from_file(path)
+    for i, text in enumerate(texts):
+        want = [*tokenizer.encode(text, add_special_tokens=False).ids, packing.END]
+        assert packing.load_encoding(path).encode(text, allowed_special="all") == want[:-1]
+        assert got[i][1] == len(want) and got[i][0] == want[: len(got[i][0])]
+    assert tokenizer.encode(texts[0], add_special_tokens=False).ids == [31373, 220, 50256, 995]
+
+
 def test_packing_balances_cost():
     lengths = np.array([100] * 8 + [900, 124, 512, 300, 212, 2048, 1])
     pieces, made = packing.pack_block(lengths, 1024)
