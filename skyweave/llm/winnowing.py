@@ -22,8 +22,9 @@ def bound(value: Column, use: Callable[[Column], Column]) -> Column:
 
 def grams(text: Column) -> Column:
     """Hash and position of every k-gram, as hash * 2**31 - position: the least of several is the one with
-    the least hash, and of equal hashes the rightmost. A shorter text is a k-gram by itself."""
-    every = F.when(F.char_length(text) < GRAM, F.array(text)).otherwise(F.regexp_extract_all(text, F.lit("(?s)(?=(.{%d}))" % GRAM), 1))
+    the least hash, and of equal hashes the rightmost. A shorter text is a k-gram by itself. Positions count code
+    points, as each match takes up one, a pair of surrogates included."""
+    every = F.when(F.char_length(text) < GRAM, F.array(text)).otherwise(F.regexp_extract_all(text, F.lit("(?s)(?=(.{%d}))." % GRAM), 1))
     return F.transform(every, lambda g, i: F.shiftleft(F.crc32(g.cast("binary")), PLACE) - i)
 
 
@@ -56,7 +57,7 @@ def winnow(text: Column) -> Column:
 
 
 def positions(selected: Column) -> Column:
-    """Selected k-grams as structs of position (in UTF-16 units, from 0) and hash.
+    """Selected k-grams as structs of position (in code points, from 0) and hash.
 
     Two texts that share a passage of ``GRAM + WINDOW - 1`` characters share a selected k-gram in it.
     """

@@ -319,6 +319,21 @@ def test_winnowing(spark, docs, empty):
         assert all(0 <= x["position"] and 0 <= x["hash"] < 1 << 32 for x in r["fingerprint"])
 
 
+def test_winnowing_counts_code_points(spark, docs):
+    wide = "".join(chr(0x1F600 + i * i % 71) if i % 3 else chr(97 + i % 26) for i in range(400))
+    letters = "".join(chr(0x1D400 + i * i % 53) for i in range(150))
+    more = [(5001, wide), (5000, "b" * 20 + wide[30:]), (4999, letters), (4998, "plain text of some length, long enough for windows " * 3), (4997, "😀" * 11), (4996, "😀" * 12)]
+    rows = docs.select("doc_id", "text").unionByName(spark.createDataFrame(more, "doc_id long, text string"))
+    plain = sorted(((r["doc_id"], r["text"] or "") for r in rows.collect()), key=lambda r: (-r[0], r[1]))
+    want = []
+    for (i, text), (_, after) in zip(plain, plain[1:] + plain[:1]):
+        cut = len(text) // 2
+        edited = text[: len(text) - cut] + after[:cut]
+        want.append((i, len(text), edited, tuple(plain_winnow(text)), tuple(plain_winnow(edited))))
+    got = winnowing.edited_fingerprints(spark, rows).collect()
+    assert Counter(want) == Counter((*r[:3], tuple(r["selected"]), tuple(r["edited_selected"])) for r in got)
+
+
 def test_winnowing_without_ids_and_with_one_row(spark):
     rows = spark.createDataFrame([(None, "some text that is long enough to have several windows of grams"), (None, "b")], "doc_id long, text string")
     assert winnowing.edited_fingerprints(spark, rows).count() == 2
