@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 from skyweave.llm.common import small_batches, table
 from skyweave.session import stage
 
-PROJECTIONS = 64
+PROJECTIONS = 128
 SHARE = 0.81  # of the projections that a vector must share a window with to be verified
 REACH = 1.5  # windows of this half-width, in distances of the k-th found, end the search
 GROWTH = 1.4  # of the radius from one level to the next

@@ -204,6 +204,13 @@ def test_recall_on_the_given_vectors(spark):
     assert hits / (10 * (ids % 20 == 0).sum()) >= 0.9
 
 
+def test_a_neighbour_as_far_as_the_last_found_is_verified():
+    """Such a vector shares each window of the reach with probability 0.866, and must share enough of them."""
+    n, p = neighbours.PROJECTIONS, math.erf(neighbours.REACH / math.sqrt(2))
+    need = math.ceil(neighbours.SHARE * n)
+    assert sum(math.comb(n, i) * p**i * (1 - p) ** (n - i) for i in range(need, n + 1)) > 0.95
+
+
 # toxicity ----------------------------------------------------------------------------------------------
 
 
