@@ -216,12 +216,13 @@ def registry_csv(customer: DataFrame) -> DataFrame:
 
 
 def csv_pages(rows: DataFrame, key: str, quote: str) -> DataFrame:
-    """Rows of text as CSV pages: a header line, then one record per row, all fields quoted; ``key`` deals rows to pages."""
+    """Rows of text as CSV pages: a header line, then one record per row, all fields quoted. Pages are ranges of the
+    unique number that ``key`` holds as text, so a page holds at most ``PAGE`` records."""
     cell = lambda c: F.concat(F.lit(quote), F.replace(F.coalesce(F.col(f"`{c}`"), F.lit("")), F.lit(quote), F.lit(quote * 2)), F.lit(quote))
     header = ",".join(f"{quote}{c}{quote}" for c in rows.columns)
     record = F.concat_ws(",", *[cell(c) for c in rows.columns])
     return (
-        rows.select(F.pmod(F.xxhash64(key), F.lit(16)).alias("page"), record.alias("record"))
+        rows.select(F.expr(f"CAST(CAST({key} AS BIGINT) DIV {PAGE} AS BIGINT)").alias("page"), record.alias("record"))
         .groupBy("page")
         .agg(F.collect_list("record").alias("records"))
         .select(

@@ -227,7 +227,7 @@ def _through_lake(spark: SparkSession, source: str, payloads: DataFrame, again:
 
 @query("ingest_airports")
 def ingest_airports(spark: SparkSession, sf: str) -> DataFrame:
-    return _through_lake(spark, "airports", P.csv_pages(P.airports_csv(B.load(spark, sf, "supplier")), "ident", '"'))
+    return _through_lake(spark, "airports", P.csv_pages(P.airports_csv(B.load(spark, sf, "supplier")), "id", '"'))
 
 
 @query("ingest_runways")
