@@ -17,7 +17,9 @@ from skyweave.llm.common import id_share, small_batches, table
 BITS = 20  # terms are hashed to so many bits
 FACTORS = 4  # latent factors of a term
 TRAIN_TOXIC, TRAIN_CLEAN = 6_000, 9_000  # labelled rows that the model is fitted on, at most
-LEAST_G = 10.0  # a term whose log-likelihood ratio with the label is lower gets no weight
+LEAST_G = 10.0  # a term whose log-likelihood ratio with the label is lower gets no weight in the first round
+LEAST_ROWS = 5  # a term of fewer training rows is not learnt
+BATCH, LEAST_STEPS = 256, 250  # rows of a step; steps of the second round, at least
 WORD = re.compile(r"[^\W\d_]+")
 MEMO = 500_000  # words whose terms a task remembers
 
@@ -63,67 +65,77 @@ def _ratio(hits: np.ndarray, rows: np.ndarray, toxic: float, total: int) -> np.n
 
 
 def fit(rows: list[np.ndarray], y: np.ndarray, seed: int = 7) -> Machine:
-    """Fit on the terms of some rows: those whose log-likelihood ratio says that they go with the label.
+    """Fit on the terms of some rows: all that at least ``LEAST_ROWS`` of them have.
 
-    AdaGrad on the logistic loss; an absolute penalty takes weights to zero, and terms that keep one get
-    latent factors in a second round.
+    AdaGrad on the logistic loss, in two rounds. The first gives weights to terms whose log-likelihood ratio says that
+    they go with the label. In the second all terms, also those that go with the label in no way by themselves,
+    have a weight and latent factors. After a third of its steps a penalty takes weights, and the factors of a term
+    together, to zero unless the loss holds them; terms that keep neither are left out of the machine.
     """
     if not len(y):
         return Machine()
     rate = (y.sum() + 0.5) / (len(y) + 1)
     bias = float(np.log(rate / (1 - rate)))
-    every = np.concatenate(rows) if rows else np.empty(0, np.int32)
-    ids, place = np.unique(every, return_inverse=True)
-    seen = np.repeat(y, [len(r) for r in rows])
-    ids = ids[_ratio(np.bincount(place, seen, len(ids)), np.bincount(place, minlength=len(ids)), y.sum(), len(y)) >= LEAST_G].astype(np.int32)
+    ids, place, n = np.unique(np.concatenate(rows), return_inverse=True, return_counts=True)
+    sizes = np.array([len(r) for r in rows])
+    kept = n >= LEAST_ROWS
+    goes = _ratio(np.bincount(place, np.repeat(y, sizes), len(ids)), n, y.sum(), len(y))[kept] >= LEAST_G
+    some = kept[place]
+    cells = (np.cumsum(kept, dtype=np.int32) - 1)[place[some]]
+    starts = np.searchsorted(np.repeat(np.arange(len(rows)), sizes)[some], np.arange(len(rows) + 1))
+    ids = ids[kept].astype(np.int32)
     if not len(ids):
         return Machine(bias)
     rng = np.random.default_rng(seed)
 
-    def batches(known: np.ndarray, size: int = 256) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
-        """(rows, which row of the batch, place in known) of the non-zeros."""
+    def batches() -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
+        """(rows, which row of the batch, place in ids) of the non-zeros."""
         order = rng.permutation(len(rows))
-        for low in range(0, len(order), size):
-            some = order[low : low + size]
-            of = np.repeat(np.arange(len(some)), [len(rows[i]) for i in some])
-            cells = np.concatenate([rows[i] for i in some])
-            at = np.minimum(np.searchsorted(known, cells), len(known) - 1)
-            there = known[at] == cells
-            yield some, of[there], at[there]
+        for low in range(0, len(order), BATCH):
+            some = order[low : low + BATCH]
+            yield some, np.repeat(np.arange(len(some)), starts[some + 1] - starts[some]), np.concatenate([cells[starts[i] : starts[i + 1]] for i in some])
 
     w, squares, bias_square = np.zeros(len(ids)), np.full(len(ids), 1e-8), 1e-8
     for _ in range(8):
-        for some, of, at in batches(ids):
+        for some, of, at in batches():
             z = bias + np.bincount(of, w[at], len(some))
             error = (1 / (1 + np.exp(-np.clip(z, -40, 40))) - y[some]) / len(some)
-            g = np.bincount(at, error[of], len(ids))
+            g = np.bincount(at, error[of], len(ids)) * goes
             squares += g * g
             step = 0.3 / np.sqrt(squares)
             w -= step * g
             w = np.sign(w) * np.maximum(np.abs(w) - step * 4e-4, 0)
             bias_square += error.sum() ** 2
             bias -= 0.1 / np.sqrt(bias_square) * error.sum()
-    kept = w != 0
-    ids, w = ids[kept], w[kept]
-    if not len(ids):
-        return Machine(bias)
-    v = rng.normal(0, 0.01, (len(ids), FACTORS))
-    w_squares, v_squares = squares[kept], np.full(v.shape, 1e-4)
-    for _ in range(6):
-        for some, of, at in batches(ids):
-            sums = np.stack([np.bincount(of, v[at, f], len(some)) for f in range(FACTORS)], axis=1)
-            alone = np.bincount(of, (v[at] ** 2).sum(axis=1), len(some))
-            z = bias + np.bincount(of, w[at], len(some)) + 0.5 * ((sums**2).sum(axis=1) - alone)
+    # terms without a weight so far move as far as their gradient says, where AdaGrad's first steps are all of one length
+    squares = np.where(w != 0, squares, np.maximum(squares, 1e-2))
+    v = rng.normal(0, 0.05 / np.sqrt(max(1, len(cells) / len(rows) / 10)), (len(ids), FACTORS))
+    v_squares = np.full(v.shape, 1e-4)
+    epochs = max(6, -(-LEAST_STEPS * BATCH // len(rows)))
+    for epoch in range(epochs):
+        shrink = epoch >= epochs // 3
+        for some, of, at in batches():
+            mine = v[at]
+            sums = np.stack([np.bincount(of, mine[:, f], len(some)) for f in range(FACTORS)], axis=1)
+            z = bias + np.bincount(of, w[at] - 0.5 * (mine**2).sum(axis=1), len(some)) + 0.5 * (sums**2).sum(axis=1)
             error = (1 / (1 + np.exp(-np.clip(z, -40, 40))) - y[some]) / len(some)
-            g = np.bincount(at, error[of], len(ids))
-            w_squares += g * g
-            w -= 0.1 / np.sqrt(w_squares) * g
-            pull = error[of][:, None] * (sums[of] - v[at])
-            g = np.stack([np.bincount(at, pull[:, f], len(ids)) for f in range(FACTORS)], axis=1) + 1e-5 * v
+            pull = error[of]
+            g = np.bincount(at, pull, len(ids))
+            squares += g * g
+            step = 0.1 / np.sqrt(squares)
+            w -= step * g
+            g = np.stack([np.bincount(at, pull * (sums[of, f] - mine[:, f]), len(ids)) for f in range(FACTORS)], axis=1)
             v_squares += g * g
-            v -= 0.05 / np.sqrt(v_squares) * g
+            v_step = 0.05 / np.sqrt(v_squares)
+            v -= v_step * g
+            if shrink:
+                w = np.sign(w) * np.maximum(np.abs(w) - step * 2e-3, 0)
+                length = np.sqrt((v**2).sum(axis=1))
+                v *= np.maximum(0, 1 - v_step.mean(axis=1) * 2e-2 / np.maximum(length, 1e-12))[:, None]
+            bias_square += error.sum() ** 2
             bias -= 0.1 / np.sqrt(bias_square) * error.sum()
-    return Machine(bias, ids, w, v)
+    kept = (w != 0) | (v != 0).any(axis=1)
+    return Machine(bias, ids[kept], w[kept], v[kept])
 
 
 def train(

@@ -237,6 +237,27 @@ def test_factors_learn_what_weights_cannot():
     assert m.v[place[1]] @ m.v[place[2]] > 0.3
 
 
+def test_factors_learn_pairs_of_terms_that_are_neutral_by_themselves():
+    """Two terms that are toxic apart only: either is as common in toxic as in clean rows."""
+
+    def some(seed, n):
+        rng = np.random.default_rng(seed)
+        rows, y = [], []
+        for _ in range(n):
+            a, b = rng.integers(0, 2, 2)
+            filler = rng.choice(np.arange(100, 400), 10, replace=False)
+            rows.append(np.unique(np.concatenate((([1] if a else []), ([2] if b else []), filler))).astype(np.int32))
+            y.append(float(a != b))
+        return rows, np.array(y)
+
+    m = toxicity.fit(*some(0, 1200))
+    place = {int(t): i for i, t in enumerate(m.ids)}
+    rows, y = some(5, 1000)
+    scores = np.array([m.score([place[t] for t in r.tolist() if t in place]) for r in rows])
+    assert ((scores >= 0.5) == y).mean() > 0.95
+    assert m.v[place[1]] @ m.v[place[2]] < -0.3
+
+
 def test_held_out_toxicity(spark, docs, empty):
     rows = []
     rng = np.random.default_rng(12)
