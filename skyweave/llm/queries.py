@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from skyweave.llm.alignment import op11_alignment
 from skyweave.llm.language_model import op3_language_model
 from skyweave.llm.mixing import op2_mixing
 from skyweave.llm.neighbours import op1_neighbours
@@ -11,6 +12,7 @@ from skyweave.llm.sharding import op9_sharding
 from skyweave.llm.simhash import op8_simhash
 from skyweave.llm.suffixes import op6_suffixes
 from skyweave.llm.toxicity import op10_toxicity
+from skyweave.llm.variants import op12_variants
 from skyweave.llm.winnowing import op5_winnowing
 
 QUERIES = {
@@ -24,6 +26,8 @@ QUERIES = {
     "op8_simhash": op8_simhash,
     "op9_sharding": op9_sharding,
     "op10_toxicity": op10_toxicity,
+    "op11_alignment": op11_alignment,
+    "op12_variants": op12_variants,
 }
 
 ORACLES: dict[str, str] = {}
