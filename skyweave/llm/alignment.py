@@ -35,6 +35,8 @@ A_FILE = "byte_bpe_50k.json"
 B_FILE = "piece_bpe_32k.model"
 # Distinct linked pairs up to this many are sent to every task with the links; beyond it they are joined by key.
 BROADCAST_PAIRS = 2_000_000
+# Characters of text encoded at a time in a worker.
+SLICE_CHARS = 1 << 20
 
 _ROWS = "_row long, kind int, doc_id long, n_a long, n_b long, n_groups long, groups string, a int, b int, k long"
 
@@ -73,48 +75,45 @@ def token_bytes(a_path: str, b_path: str) -> tuple[list[bytes], list[bytes]]:
     return a_bytes, b_bytes
 
 
-def lockstep(a_ends: list[np.ndarray], b_ends: list[np.ndarray]) -> tuple[list[np.ndarray], list[np.ndarray], list[np.ndarray], list[np.ndarray]]:
+def lockstep(a_ends: list[np.ndarray], b_ends: list[np.ndarray]) -> tuple[list[np.ndarray], list[np.ndarray], list[np.ndarray]]:
     """Merge the token ends of all documents at once.
 
     ``a_ends[d]`` and ``b_ends[d]`` are the increasing end offsets of document d's tokens, both ending at the
-    same total. Returns per document the A and B token positions of each link (in merge order) and the A and
-    B positions of the tokens that close a group.
+    same total. Each step writes one link for every unfinished document, at its own place in arrays laid
+    out in advance (a document has at most n_a + n_b - 1 links). Returns per document the A and B token
+    positions of each link in merge order, and whether that link closes a group.
     """
     n = len(a_ends)
     na = np.array([len(x) for x in a_ends], dtype=np.int64)
     nb = np.array([len(x) for x in b_ends], dtype=np.int64)
     a_all = np.concatenate([*a_ends, np.zeros(1, np.int64)]).astype(np.int64)
     b_all = np.concatenate([*b_ends, np.zeros(1, np.int64)]).astype(np.int64)
-    a_base = np.concatenate([[0], np.cumsum(na)[:-1]]).astype(np.int64) if n else np.zeros(0, np.int64)
-    b_base = np.concatenate([[0], np.cumsum(nb)[:-1]]).astype(np.int64) if n else np.zeros(0, np.int64)
+    a_base = np.concatenate([[0], np.cumsum(na)]).astype(np.int64)
+    b_base = np.concatenate([[0], np.cumsum(nb)]).astype(np.int64)
+    room = np.concatenate([[0], np.cumsum(na + nb)]).astype(np.int64)
+    link_a, link_b = np.zeros(room[-1], np.int64), np.zeros(room[-1], np.int64)
+    closes = np.zeros(room[-1], bool)
+    steps = np.zeros(n, np.int64)
     live = np.flatnonzero((na > 0) & (nb > 0))
-    pa, pb = np.zeros(len(live), np.int64), np.zeros(len(live), np.int64)
-    links_doc, links_a, links_b, cut_doc, cut_a, cut_b = [], [], [], [], [], []
+    pa, pb, step = np.zeros(len(live), np.int64), np.zeros(len(live), np.int64), 0
     while len(live):
         ea, eb = a_all[a_base[live] + pa], b_all[b_base[live] + pb]
-        links_doc.append(live), links_a.append(pa), links_b.append(pb)
-        cut = ea == eb
-        if cut.any():
-            cut_doc.append(live[cut]), cut_a.append(pa[cut]), cut_b.append(pb[cut])
+        at = room[live] + step
+        link_a[at], link_b[at], closes[at] = pa, pb, ea == eb
         pa = pa + (ea <= eb)
         pb = pb + (eb <= ea)
+        step += 1
         going = (pa < na[live]) & (pb < nb[live])
         if not going.all():  # compact: finished documents leave the state
+            steps[live[~going]] = step
             live, pa, pb = live[going], pa[going], pb[going]
-
-    def split(docs: list[np.ndarray], values: list[np.ndarray]) -> list[np.ndarray]:
-        if not docs:
-            return [np.zeros(0, np.int64) for _ in range(n)]
-        d, v = np.concatenate(docs), np.concatenate(values)
-        order = np.argsort(d, kind="stable")  # steps are in order, so each document's rows stay in order
-        d, v = d[order], v[order]
-        return np.split(v, np.searchsorted(d, np.arange(1, n)))
-
-    return split(links_doc, links_a), split(links_doc, links_b), split(cut_doc, cut_a), split(cut_doc, cut_b)
+    ranges = [slice(room[d], room[d] + steps[d]) for d in range(n)]
+    return [link_a[r] for r in ranges], [link_b[r] for r in ranges], [closes[r] for r in ranges]
 
 
 def groups_text(a_ids: np.ndarray, b_ids: np.ndarray, cut_a: np.ndarray, cut_b: np.ndarray) -> str:
-    """``a1,a2|b1;a3|b2,b3``: A ids, then B ids, of each group in order."""
+    """``a1,a2|b1;a3|b2,b3``: A ids, then B ids, of each group in order; ``cut_a``, ``cut_b`` are the
+    positions of the last A and B token of each group."""
     parts, sa, sb = [], 0, 0
     for ea, eb in zip(cut_a.tolist(), cut_b.tolist()):
         parts.append(",".join(map(str, a_ids[sa:ea + 1].tolist())) + "|" + ",".join(map(str, b_ids[sb:eb + 1].tolist())))
@@ -122,6 +121,20 @@ def groups_text(a_ids: np.ndarray, b_ids: np.ndarray, cut_a: np.ndarray, cut_b:
     return ";".join(parts)
 
 
+def _slices(batch: pd.DataFrame) -> Iterator[pd.DataFrame]:
+    """Rows of a batch in runs of at most SLICE_CHARS characters of text (a longer text alone), so that a
+    worker holds the encodings of little text at a time."""
+    sizes = batch["text"].str.len().fillna(0).to_numpy()
+    start, total = 0, 0
+    for i, size in enumerate(sizes):
+        if i > start and total + size > SLICE_CHARS:
+            yield batch.iloc[start:i]
+            start, total = i, 0
+        total += size
+    if start < len(batch):
+        yield batch.iloc[start:]
+
+
 def align_batches(batches: Iterator[pd.DataFrame], a_path: str, b_path: str) -> Iterator[pd.DataFrame]:
     """Per document a summary row (kind 0) and its linked id pairs with their number (kind 1)."""
     import sentencepiece
@@ -133,7 +146,7 @@ def align_batches(batches: Iterator[pd.DataFrame], a_path: str, b_path: str) ->
     a_bytes, b_bytes = token_bytes(a_path, b_path)
     a_len = np.array([len(x) for x in a_bytes], np.int64)
     b_len = np.array([len(x) for x in b_bytes], np.int64)
-    for batch in batches:
+    for batch in (piece for whole in batches for piece in _slices(whole)):
         texts = batch["text"].tolist()
         ok = [isinstance(t, str) and t != "" for t in texts]
         use = [t for t, good in zip(texts, ok) if good]
@@ -152,7 +165,8 @@ def align_batches(batches: Iterator[pd.DataFrame], a_path: str, b_path: str) ->
             a_ids.append(np.asarray(ia, np.int64)), b_ids.append(np.asarray(ib, np.int64))
         a_ends = [np.cumsum(a_len[x]) for x in a_ids]
         b_ends = [np.cumsum(b_len[x]) for x in b_ids]
-        link_a, link_b, cut_a, cut_b = lockstep(a_ends, b_ends)
+        link_a, link_b, closes = lockstep(a_ends, b_ends)
+        cut_a, cut_b = [x[c] for x, c in zip(link_a, closes)], [x[c] for x, c in zip(link_b, closes)]
         rows, doc_ids = batch["_row"].to_numpy(), batch["doc_id"]
         n_groups = np.array([len(c) for c in cut_a], np.int64)
         summary = pd.DataFrame({
