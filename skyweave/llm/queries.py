@@ -7,6 +7,7 @@ from skyweave.llm.language_model import op3_language_model
 from skyweave.llm.mixing import op2_mixing
 from skyweave.llm.neighbours import op1_neighbours
 from skyweave.llm.packing import op4_packing
+from skyweave.llm.pii import op13_pii
 from skyweave.llm.secrets import op7_secrets
 from skyweave.llm.sharding import op9_sharding
 from skyweave.llm.simhash import op8_simhash
@@ -28,6 +29,7 @@ QUERIES = {
     "op10_toxicity": op10_toxicity,
     "op11_alignment": op11_alignment,
     "op12_variants": op12_variants,
+    "op13_pii": op13_pii,
 }
 
 ORACLES: dict[str, str] = {}
