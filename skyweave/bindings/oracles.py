@@ -702,3 +702,11 @@ SELECT hub, snapshot_time // 3600 * 3600 AS hour_start, count(*) AS fixes, count
        max(alt_baro) AS max_alt_ft FROM raw GROUP BY 1, 2"""
 
 ORACLES["stream_legs"] = ORACLES["flight_legs"]
+
+ORACLES["stream_freshness"] = """
+WITH f AS (SELECT event_type AS feed, max(CAST(floor(epoch(ts)) AS BIGINT)) AS newest FROM events GROUP BY 1),
+     t AS (SELECT max(CAST(floor(epoch(ts)) AS BIGINT)) AS start FROM events),
+     k AS (SELECT range AS batch_id FROM range(3))
+SELECT batch_id, feed, start + 3600 * batch_id AS tick, newest, start + 3600 * batch_id - newest AS age_seconds,
+       start + 3600 * batch_id - newest <= 5400 AS passed
+FROM f, t, k"""

@@ -598,3 +598,27 @@ def stream_legs(spark: SparkSession, sf: str) -> DataFrame:
         fixes, airports, root, shared_folder(spark, "checkpoint"), B.GAP_SECONDS, B.RADIUS_NM, B.MIN_LEG_SECONDS
     ).awaitTermination()
     return lake.read_table(spark, root, "fct_flight_leg").drop("dt")
+
+
+FRESH_EVERY_SECONDS, FRESH_MAX_AGE_SECONDS, FRESH_RUNS = 3600, 5400, 3
+
+
+@query("stream_freshness")
+def stream_freshness(spark: SparkSession, sf: str) -> DataFrame:
+    """Arrivals of every event type recorded by one stream, then three runs of the watch without new files.
+
+    Ticks start at the newest event and advance an hour a run, so silence grows by an hour each run and is
+    noted on every run, though no data batch comes.
+    """
+    root, events = shared_folder(spark, "lake"), _event_stream(spark, sf)
+    arrivals = events.select("event_type", F.unix_timestamp("ts").alias("arrived"))
+    streaming.run_arrivals(arrivals, "event_type", "arrived", root, shared_folder(spark, "checkpoint")).awaitTermination()
+    newest = streaming.jobs.newest_arrivals(spark, root)
+    start = newest.agg(F.max("newest")).first()[0]
+    feeds = B.load(spark, sf, "events").select(F.col("event_type").alias("feed")).distinct()
+    watch_checkpoint = shared_folder(spark, "checkpoint")
+    for _ in range(FRESH_RUNS):
+        ticks = streaming.heartbeat(spark, FRESH_EVERY_SECONDS, start)
+        streaming.run_watch(ticks, feeds, "events", FRESH_MAX_AGE_SECONDS, root, watch_checkpoint).awaitTermination()
+    noted = spark.read.parquet(f"{root}/ops/freshness")
+    return noted.select("batch_id", "feed", "tick", "newest", "age_seconds", "passed")

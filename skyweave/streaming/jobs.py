@@ -7,6 +7,7 @@ there and stop, which suits a scheduler; pass another trigger to keep one runnin
 
 from __future__ import annotations
 
+import time
 from collections.abc import Callable
 from typing import Any
 
@@ -23,6 +24,8 @@ from skyweave.session import staged
 from skyweave.sources import PARSERS
 
 AVAILABLE_NOW = {"availableNow": True}
+ARRIVALS = "arrivals"
+ARRIVAL_SCHEMA = "feed string, newest long, rows long, batch_id long"
 
 
 def bronze_stream(spark: SparkSession, root: str, source: str, files_per_batch: int = 1000) -> DataFrame:
@@ -150,10 +153,83 @@ def run_freshness(
     rows: DataFrame, table: str, column: str, max_age_seconds: int, root: str, checkpoint: str,
     now: float | None = None, trigger: dict[str, Any] | None = None,
 ) -> StreamingQuery:
-    """Note per batch whether the newest row is recent enough: a stalled feed must not pass for calm."""
+    """Note per batch of rows whether the newest row is recent enough.
+
+    A feed that delivers nothing makes no batch here, so this alone never notes silence; for that, record
+    arrivals with :func:`run_arrivals` and let :func:`run_watch` judge them on every tick of :func:`heartbeat`.
+    """
 
     def each(batch: DataFrame, batch_id: int) -> None:
         outcome = quality.run_checks(batch, table, [quality.fresh_within(column, max_age_seconds, now)])
         operations.append(outcome.withColumn("batch_id", F.lit(batch_id)), root, "freshness")
 
     return _start(rows, each, checkpoint, trigger)
+
+
+def run_arrivals(
+    rows: DataFrame, feed: str, column: str, root: str, checkpoint: str, trigger: dict[str, Any] | None = None
+) -> StreamingQuery:
+    """Append, per batch, the newest ``column`` value (epoch seconds) and the row count of each feed to
+    ``ops/arrivals``. A batch repeated after a failure appends the same maxima again, which changes no newest."""
+
+    def each(batch: DataFrame, batch_id: int) -> None:
+        newest = batch.groupBy(F.col(feed).cast("string").alias("feed")).agg(
+            F.max(F.col(column).cast("long")).alias("newest"), F.count(F.lit(1)).alias("rows"),
+        )
+        operations.append(newest.withColumn("batch_id", F.lit(batch_id).cast("long")), root, ARRIVALS)
+
+    return _start(rows, each, checkpoint, trigger)
+
+
+def heartbeat(spark: SparkSession, every_seconds: int = 60, start_seconds: int | None = None) -> DataFrame:
+    """A stream of one tick a batch, stamped ``start + batch * every`` (start: now), whatever data arrive.
+
+    Time itself makes the batches, so checks that run on ticks also run while every feed is silent; with
+    ``availableNow`` each run takes exactly one tick.
+    """
+    start = int(time.time()) if start_seconds is None else int(start_seconds)
+    return (
+        spark.readStream.format("rate-micro-batch").option("rowsPerBatch", 1)
+        .option("startTimestamp", start * 1000).option("advanceMillisPerBatch", every_seconds * 1000).load()
+    )
+
+
+def newest_arrivals(spark: SparkSession, root: str) -> DataFrame:
+    """Newest value per feed over all recorded arrivals (no rows before the first)."""
+    path = f"{root}/ops/{ARRIVALS}"
+    try:
+        arrivals = spark.read.schema(ARRIVAL_SCHEMA).parquet(path)
+    except Exception:  # nothing recorded yet
+        arrivals = spark.createDataFrame([], ARRIVAL_SCHEMA)
+    return arrivals.groupBy("feed").agg(F.max("newest").alias("newest"))
+
+
+def watch(arrivals: DataFrame, feeds: DataFrame, tick: Column, table: str, max_age_seconds: int) -> DataFrame:
+    """Freshness of every expected feed at ``tick`` (epoch seconds): one outcome a feed; a feed without any
+    arrival fails with ``no timestamps``."""
+    known = feeds.select(F.col("feed").cast("string").alias("feed")).distinct().join(arrivals, "feed", "left")
+    age = tick - F.col("newest")
+    observed = F.when(F.col("newest").isNull(), F.lit("no timestamps")).otherwise(F.format_string("%ds old", age))
+    return known.select(
+        F.lit(table).alias("table"), F.concat(F.lit("fresh_within["), F.col("feed"), F.lit("]")).alias("check"),
+        F.coalesce(age <= max_age_seconds, F.lit(False)).alias("passed"), observed.alias("observed"),
+        F.lit(f"<={max_age_seconds}s old").alias("expected"), F.lit("warn").alias("severity"),
+        "feed", tick.cast("long").alias("tick"), F.col("newest"), age.cast("long").alias("age_seconds"),
+    )
+
+
+def run_watch(
+    ticks: DataFrame, feeds: DataFrame, table: str, max_age_seconds: int, root: str, checkpoint: str,
+    trigger: dict[str, Any] | None = None,
+) -> StreamingQuery:
+    """On every tick, judge the newest arrival of each expected feed and append the outcomes to ``ops/freshness``."""
+
+    def each(batch: DataFrame, batch_id: int) -> None:
+        stamp = batch.agg(F.max(F.col("timestamp").cast("long"))).first()[0]  # one tick a batch
+        if stamp is None:
+            return
+        spark = batch.sparkSession
+        outcome = watch(newest_arrivals(spark, root), feeds, F.lit(stamp), table, max_age_seconds)
+        operations.append(outcome.withColumn("batch_id", F.lit(batch_id).cast("long")), root, "freshness")
+
+    return _start(ticks, each, checkpoint, trigger)

@@ -251,3 +251,25 @@ def test_a_check_that_cannot_run_fails(spark):
     broken = quality.Expectation("broken", lambda m: None, metrics=explode_)
     result = outcomes(spark.createDataFrame([("a", 1, 1.0, 1.0, 1, 1.0, 1.0)], POSITION), broken, quality.not_empty())
     assert not result["broken"].passed and "KeyError" in result["broken"].observed and result["not_empty"].passed
+
+
+def test_silent_feed_is_noted_on_every_tick(spark, tmp_path):
+    inbox, root = str(tmp_path / "in"), str(tmp_path / "lake")
+    schema = "feed string, t bigint"
+    spark.createDataFrame([("adsb", 1000), ("metar", 900)], schema).write.parquet(inbox)
+    streaming.run_arrivals(spark.readStream.schema(schema).parquet(inbox), "feed", "t", root, str(tmp_path / "a")).awaitTermination()
+    feeds = spark.createDataFrame([("adsb",), ("metar",), ("taf",)], "feed string")
+    for _ in range(3):  # three runs, no new file: each tick is a batch all the same
+        ticks = streaming.heartbeat(spark, every_seconds=100, start_seconds=1050)
+        streaming.run_watch(ticks, feeds, "feeds", 120, root, str(tmp_path / "w")).awaitTermination()
+    noted = rows(spark.read.parquet(f"{root}/ops/freshness"), "batch_id", "feed", "passed", "observed")
+    assert noted == [
+        (0, "adsb", True, "50s old"), (0, "metar", False, "150s old"), (0, "taf", False, "no timestamps"),
+        (1, "adsb", False, "150s old"), (1, "metar", False, "250s old"), (1, "taf", False, "no timestamps"),
+        (2, "adsb", False, "250s old"), (2, "metar", False, "350s old"), (2, "taf", False, "no timestamps"),
+    ]
+    spark.createDataFrame([("adsb", 1340)], schema).write.mode("append").parquet(inbox)  # the feed comes back
+    streaming.run_arrivals(spark.readStream.schema(schema).parquet(inbox), "feed", "t", root, str(tmp_path / "a")).awaitTermination()
+    streaming.run_watch(streaming.heartbeat(spark, 100, 1050), feeds, "feeds", 120, root, str(tmp_path / "w")).awaitTermination()
+    last = [r for r in rows(spark.read.parquet(f"{root}/ops/freshness"), "batch_id", "feed", "passed", "observed") if r[0] == 3]
+    assert last == [(3, "adsb", True, "10s old"), (3, "metar", False, "450s old"), (3, "taf", False, "no timestamps")]
