@@ -17,18 +17,24 @@ def csv_items(pages: DataFrame, columns: Sequence[str], quote: str) -> DataFrame
     """One row per CSV record of archived pages, with ``columns`` by name as text and where it came from.
 
     A page is CSV text with a header line; quotes are doubled inside quoted fields, which may hold line
-    breaks. Columns that the header lacks are null, and so are empty fields.
+    breaks. A quote opens a quoted field only at the field's start, as in Python's ``csv``: a bare field
+    such as ``O'Neill`` keeps its quote as a letter. Blank lines hold no record. Columns that the header
+    lacks are null, and so are empty fields.
     """
     q = quote
-    record = f"(?:[^{q}\\r\\n]++|{q}[^{q}]*+{q})++"
-    field = f",((?:[^{q},]++|{q}[^{q}]*+{q})*+)"
+    quoted = f"{q}[^{q}]*+(?:{q}{q}[^{q}]*+)*+{q}"
+    record = f"(?:{quoted}[^,{q}\\r\\n]*+|[^,{q}\\r\\n][^,\\r\\n]*+|)(?:,(?:{quoted}[^,{q}\\r\\n]*+|[^,{q}\\r\\n][^,\\r\\n]*+|))*+"
+    field = f",({quoted}[^,]*+|[^,{q}][^,]*+|)"
 
     def cells(text: Column) -> Column:
-        bare = lambda f: F.when(f.startswith(q), F.replace(F.substring(f, F.lit(2), F.char_length(f) - 2), F.lit(q * 2), F.lit(q))).otherwise(f)
+        inside = lambda f, part: F.regexp_extract(f, f"^{q}([^{q}]*+(?:{q}{q}[^{q}]*+)*+){q}(.*)$", part)
+        unquoted = lambda f: F.concat(F.replace(inside(f, 1), F.lit(q * 2), F.lit(q)), inside(f, 2))
+        bare = lambda f: F.when(f.startswith(q), unquoted(f)).otherwise(f)
         return F.transform(F.regexp_extract_all(F.concat(F.lit(","), text), F.lit(field), 1), lambda f: N.blank_to_null(bare(f)))
 
     cut = pages.select(
-        F.col("captured_at").alias("_captured_at"), F.col("page_id").alias("_page_id"), F.regexp_extract_all("payload", F.lit(record), 0).alias("records")
+        F.col("captured_at").alias("_captured_at"), F.col("page_id").alias("_page_id"),
+        F.filter(F.regexp_extract_all("payload", F.lit(record), 0), lambda r: r != "").alias("records"),
     ).where(F.size("records") > 1)
     rows = cut.select(
         "_captured_at", "_page_id", cells(F.col("records")[0]).alias("header"),
