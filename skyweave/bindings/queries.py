@@ -191,19 +191,19 @@ def _written_csv(spark: SparkSession, df: DataFrame, quote: str) -> str:
 @query("parse_airports")
 def parse_airports(spark: SparkSession, sf: str) -> DataFrame:
     path = _written_csv(spark, P.airports_csv(B.load(spark, sf, "supplier")), '"')
-    return reference.parse_airports(reference.read_double_quoted(spark, path))
+    return reference.parse_airports(reference.read_csv_lines(spark, path, '"', reference.AIRPORT_FILE))
 
 
 @query("parse_runways")
 def parse_runways(spark: SparkSession, sf: str) -> DataFrame:
     path = _written_csv(spark, P.runways_csv(B.load(spark, sf, "supplier")), '"')
-    return reference.parse_runways(reference.read_double_quoted(spark, path))
+    return reference.parse_runways(reference.read_csv_lines(spark, path, '"', reference.RUNWAY_FILE))
 
 
 @query("parse_registry")
 def parse_registry(spark: SparkSession, sf: str) -> DataFrame:
     path = _written_csv(spark, P.registry_csv(B.load(spark, sf, "customer")), "'")
-    return reference.parse_registry(reference.read_single_quoted(spark, path))
+    return reference.parse_registry(reference.read_csv_lines(spark, path, "'", ("icao24", *reference.REGISTRY_COLUMNS)))
 
 
 @query("hazard_counts")

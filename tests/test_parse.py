@@ -164,3 +164,32 @@ def test_reference_files(spark, tmp_path):
     (row,) = reference.parse_registry(raw).collect()
     assert (row.icao24, row.registration, row.model, row.manufacturer, row.operator, row.operator_icao) == ("a1", "N1", 'M "x"', "Line one\nline two", None, "OPR")
     assert sorted(r.icao24 for r in reference.parse_registry(raw, identified_only=False).collect()) == ["0002", "a1"]
+
+
+@pytest.mark.parametrize("q", ['"', "'"])
+def test_csv_lines_split_over_tasks_match_python_csv(spark, tmp_path, q):
+    """Quoted line breaks, bare quotes, doubled quotes and blank lines, one file cut into many splits."""
+    import csv
+    import io
+    import random
+
+    rng = random.Random(5)
+    lines = ["id,owner,note"]
+    for i in range(600):
+        owner = rng.choice([f"O{q}Neill Air", f"D{q}Arcy", "plain", "", f"{q}multi\nline\n\nowner{q}", f"{q}It{q}{q}s, here{q}"])
+        lines.append(f"{i},{owner},{rng.choice(['x', f'{q}a{q}{q}' + chr(10) + f'b{q}', '', q + q, f'bare{q}q'])}")
+        if rng.random() < 0.2:
+            lines.append("")
+    text = "\n".join(lines) + "\n"
+    (tmp_path / "f.csv").write_text(text)
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "4096")
+    spark.conf.set("spark.sql.files.openCostInBytes", "0")
+    try:
+        df = reference.read_csv_lines(spark, str(tmp_path / "f.csv"), q, ("id", "owner", "note", "missing"))
+        assert spark.read.text(str(tmp_path / "f.csv")).rdd.getNumPartitions() > 3
+        got = sorted((tuple(r) for r in df.collect()), key=lambda r: int(r[0]))
+    finally:
+        spark.conf.unset("spark.sql.files.maxPartitionBytes")
+        spark.conf.unset("spark.sql.files.openCostInBytes")
+    want = [tuple(v or None for v in (r["id"], r["owner"], r["note"], None)) for r in csv.DictReader(io.StringIO(text), quotechar=q)]
+    assert got == want and len(got) == 600
