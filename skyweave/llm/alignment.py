@@ -20,6 +20,7 @@ Defined results:
 from __future__ import annotations
 
 import hashlib
+import os
 from collections.abc import Iterator
 
 import numpy as np
@@ -28,6 +29,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from skyweave.llm.common import table
+from skyweave.llm.packing import load_encoding
 from skyweave.session import stage
 
 # The tokenizer files of the contract.
@@ -36,7 +38,7 @@ B_FILE = "piece_bpe_32k.model"
 # Distinct linked pairs up to this many are sent to every task with the links; beyond it they are joined by key.
 BROADCAST_PAIRS = 2_000_000
 # Characters of text encoded at a time in a worker.
-SLICE_CHARS = 1 << 20
+SLICE_CHARS = 1 << 18
 
 _ROWS = "_row long, kind int, doc_id long, n_a long, n_b long, n_groups long, groups string, a int, b int, k long"
 
@@ -114,16 +116,63 @@ def lockstep(a_ends: list[np.ndarray], b_ends: list[np.ndarray]) -> tuple[list[n
 def groups_text(a_ids: np.ndarray, b_ids: np.ndarray, cut_a: np.ndarray, cut_b: np.ndarray) -> str:
     """``a1,a2|b1;a3|b2,b3``: A ids, then B ids, of each group in order; ``cut_a``, ``cut_b`` are the
     positions of the last A and B token of each group."""
-    parts, sa, sb = [], 0, 0
-    for ea, eb in zip(cut_a.tolist(), cut_b.tolist()):
-        parts.append(",".join(map(str, a_ids[sa:ea + 1].tolist())) + "|" + ",".join(map(str, b_ids[sb:eb + 1].tolist())))
-        sa, sb = ea + 1, eb + 1
-    return ";".join(parts)
+    return groups_texts([a_ids], [b_ids], [cut_a], [cut_b])[0]
+
+
+_NAMES: list = [np.zeros(0, dtype=object)]
+
+
+def _names(size: int) -> np.ndarray:
+    """Decimal names of ids below ``size``, as an object array to gather from."""
+    if len(_NAMES[0]) < size:
+        _NAMES[0] = np.array([str(i) for i in range(max(size, 65536))], dtype=object)
+    return _NAMES[0]
+
+
+def groups_texts(a_ids: list[np.ndarray], b_ids: list[np.ndarray], cut_a: list[np.ndarray], cut_b: list[np.ndarray]) -> list[str]:
+    """:func:`groups_text` of many documents at once: every id becomes an item keyed by (document, group,
+    side, place), items are sorted by key with NumPy, and each item is followed by its separator (``,``
+    inside a side, ``|`` after a group's last A id, ``;`` after its last B id, nothing at the end)."""
+    n = len(a_ids)
+    na, nb = np.array([len(x) for x in a_ids], np.int64), np.array([len(x) for x in b_ids], np.int64)
+    if n == 0 or (na + nb).sum() == 0:
+        return [""] * n
+
+    def side(ids: list[np.ndarray], cuts: list[np.ndarray], counts: np.ndarray, mark: str):
+        base = np.concatenate([[0], np.cumsum(counts)[:-1]])
+        flat = np.concatenate(ids).astype(np.int64) if counts.sum() else np.zeros(0, np.int64)
+        closes = np.zeros(len(flat), bool)
+        closes[np.concatenate([c + b for c, b in zip(cuts, base)]).astype(np.int64)] = True
+        doc = np.repeat(np.arange(n), counts)
+        before = np.cumsum(closes) - closes  # closed groups before each id, over all documents
+        group = before - (np.cumsum(np.concatenate([[0], [c.size for c in cuts]]))[:-1])[doc]
+        place = np.arange(len(flat)) - base[doc]
+        return flat, doc, group, place, np.where(closes, mark, ",")
+
+    fa, da, ga, pa, sa = side(a_ids, cut_a, na, "|")
+    fb, db, gb, pb, sb = side(b_ids, cut_b, nb, ";")
+    order = np.lexsort((np.concatenate([pa, pb]), np.concatenate([np.zeros(len(fa), int), np.ones(len(fb), int)]), np.concatenate([ga, gb]), np.concatenate([da, db])))
+    items = np.concatenate([_names(fa.max(initial=0) + 1)[fa], _names(fb.max(initial=0) + 1)[fb]])[order].tolist()
+    seps = np.concatenate([sa, sb])[order].tolist()
+    bounds = np.concatenate([[0], np.cumsum(na + nb)])
+    out = []
+    for d in range(n):
+        lo, hi = bounds[d], bounds[d + 1]
+        if lo == hi:
+            out.append("")
+            continue
+        seps[hi - 1] = ""  # the last B id of the last group
+        joined = [None] * (2 * (hi - lo))
+        joined[0::2], joined[1::2] = items[lo:hi], seps[lo:hi]
+        out.append("".join(joined))
+    return out
 
 
 def _slices(batch: pd.DataFrame) -> Iterator[pd.DataFrame]:
     """Rows of a batch in runs of at most SLICE_CHARS characters of text (a longer text alone), so that a
-    worker holds the encodings of little text at a time."""
+    worker holds the encodings of little text at a time. Rows go by length, so that the texts of a run,
+    which the lockstep merge walks together, are about as long as each other."""
+    batch = batch.iloc[np.argsort(batch["text"].str.len().fillna(0).to_numpy(), kind="stable")]
     sizes = batch["text"].str.len().fillna(0).to_numpy()
     start, total = 0, 0
     for i, size in enumerate(sizes):
@@ -135,13 +184,23 @@ def _slices(batch: pd.DataFrame) -> Iterator[pd.DataFrame]:
         yield batch.iloc[start:]
 
 
+def _encode_a(fast, slow, text: str) -> list[int]:
+    """A's ids of a text: by tiktoken, or by ``tokenizers`` where tiktoken gives up (very long runs of white space)."""
+    try:
+        return fast.encode_ordinary(text)
+    except ValueError:
+        return slow.encode(text, add_special_tokens=False).ids
+
+
 def align_batches(batches: Iterator[pd.DataFrame], a_path: str, b_path: str) -> Iterator[pd.DataFrame]:
     """Per document a summary row (kind 0) and its linked id pairs with their number (kind 1)."""
+    os.environ["TOKENIZERS_PARALLELISM"] = "false"  # one core a task, as Spark counts it
     import sentencepiece
     from tokenizers import Tokenizer
 
     a_tok = Tokenizer.from_file(a_path)
     a_tok.encode_special_tokens = True  # strings of special tokens inside texts are plain text
+    a_fast = load_encoding(a_path)  # the same ids, by merge ranks
     b_tok = sentencepiece.SentencePieceProcessor(model_file=b_path)
     a_bytes, b_bytes = token_bytes(a_path, b_path)
     a_len = np.array([len(x) for x in a_bytes], np.int64)
@@ -150,7 +209,7 @@ def align_batches(batches: Iterator[pd.DataFrame], a_path: str, b_path: str) ->
         texts = batch["text"].tolist()
         ok = [isinstance(t, str) and t != "" for t in texts]
         use = [t for t, good in zip(texts, ok) if good]
-        a_enc = [e.ids for e in a_tok.encode_batch([" " + t for t in use], add_special_tokens=False)] if use else []
+        a_enc = [_encode_a(a_fast, a_tok, " " + t) for t in use]
         b_enc = b_tok.encode(use, num_threads=1) if use else []
         a_ids, b_ids, at = [], [], 0
         for i, good in enumerate(ok):
@@ -172,7 +231,7 @@ def align_batches(batches: Iterator[pd.DataFrame], a_path: str, b_path: str) ->
         summary = pd.DataFrame({
             "_row": rows, "kind": 0, "doc_id": doc_ids.astype("Int64"),
             "n_a": [len(x) for x in a_ids], "n_b": [len(x) for x in b_ids], "n_groups": n_groups,
-            "groups": [groups_text(a, b, ca, cb) for a, b, ca, cb in zip(a_ids, b_ids, cut_a, cut_b)],
+            "groups": groups_texts(a_ids, b_ids, cut_a, cut_b),
             "a": None, "b": None, "k": None,
         })
         yield summary
