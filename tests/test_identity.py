@@ -77,3 +77,32 @@ def test_tie_keeps_the_first_read(spark):
 
     fixes = spark.createDataFrame([("a", 100, "N1", None, 1), ("a", 100, "N2", None, 2)], FIX + ", seq int")
     assert versions(aircraft_dimension(fixes, arrival=F.col("seq")))[0]["registration"] == "N1"
+
+
+def test_dyadic_cells_tile_exactly(spark):
+    from skyweave.operators import interval
+
+    rows = [(0, 0), (5, 4), (-300, 17), (3, 1000), (123, 2**40), (7, 7)]
+    got = spark.createDataFrame(rows, "lo long, hi long").select("lo", "hi", interval.dyadic_cells("lo", "hi").alias("c")).collect()
+    for r in got:
+        cells = [(c.level, c.cell) for c in r.c]
+        assert all(sum(1 for level, _ in cells if level == k) <= 2 for k in range(interval.DYADIC_LEVELS))
+        assert sum(2**level for level, _ in cells) == max(0, r.hi - r.lo + 1)
+        for p in (r.lo - 1, r.lo, (r.lo + r.hi) // 2, r.hi, r.hi + 1):
+            assert sum((p >> level) == cell for level, cell in cells) == (1 if r.lo <= p <= r.hi else 0)
+
+
+def test_forecast_with_end_in_milliseconds(spark):
+    """An end written in milliseconds lists a few cells, not hundreds of millions of hours."""
+    from skyweave.operators import interval
+
+    fc = "station string, issue_time long, period_from long, period_to long, change_indicator string, visibility_sm double, ceiling_ft int"
+    forecasts = spark.createDataFrame(
+        [("KAAA", 100, 0, 1_785_335_434_000, None, 6.0, 1000), ("KAAA", 200, 3600, 7200, "TEMPO", 2.0, 500), ("KBBB", 100, 7200, 7201, None, 1.0, 100)], fc
+    )
+    hours = spark.createDataFrame([("KAAA", 0), ("KAAA", 3600), ("KAAA", 36_000_000), ("KBBB", 7200), ("KBBB", 10800)], "station string, hour_start long")
+    got = sorted(tuple(r) for r in interval.forecast_for_hour(hours, forecasts).collect())
+    assert got == [
+        ("KAAA", 0, 100, 0, None, 6.0, 1000), ("KAAA", 3600, 200, 3600, "TEMPO", 2.0, 500),
+        ("KAAA", 36_000_000, 100, 0, None, 6.0, 1000), ("KBBB", 7200, 100, 7200, None, 1.0, 100),
+    ]
