@@ -39,6 +39,17 @@ def load_encoding(path: str) -> tiktoken.Encoding:
     return tiktoken.Encoding("file", pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens=special)
 
 
+def encode_ids(encoding: tiktoken.Encoding, path: str, text: str) -> np.ndarray:
+    """Ids of a text by tiktoken; where tiktoken gives up (runs of about a million blanks or line breaks
+    exceed its stack), by ``tokenizers`` from the same file, which gives the same ids."""
+    try:
+        return np.asarray(encoding.encode_to_numpy(text, allowed_special="all"), dtype="<u4")
+    except ValueError:
+        from tokenizers import Tokenizer
+
+        return np.asarray(Tokenizer.from_file(path).encode(text, add_special_tokens=False).ids, dtype="<u4")
+
+
 def pack_block(lengths: np.ndarray, capacity: int, linear: int = LINEAR) -> tuple[list[tuple[int, int, int, int, int]], int]:
     """Cut and pack documents of the given lengths (at least 1 each).
 
@@ -117,7 +128,7 @@ def pack(
 
         for pdf in batches:
             for name, text in zip(pdf["doc_id"], pdf["text"]):
-                tokens = np.asarray(encoding.encode_to_numpy(text or "", allowed_special="all"), dtype="<u4")
+                tokens = encode_ids(encoding, tokenizer, text or "")
                 names.append(None if name is None else int(name))
                 ids.append(np.append(tokens, np.array([END], dtype="<u4")))
                 held += len(ids[-1])

@@ -284,3 +284,26 @@ def test_pii_query_digest(spark, docs):
     rows = pii.find_pii(spark, docs, pii.init_model()).collect()
     assert len(rows) == docs.count()
     assert hashlib.sha256(b"").hexdigest() == hashlib.sha256("".encode()).hexdigest()
+
+
+# packing on very long white space ------------------------------------------------------------------------
+
+
+@pytest.mark.parametrize("text", [" " * 2_000_000, "\n" * 2_000_000, "\t" * 2_000_000, "a" * 2_000_000])
+def test_packing_ids_on_very_long_runs(text):
+    from skyweave.llm import packing
+
+    path = public_tokenizers.path("byte_bpe_50k.json")
+    got = packing.encode_ids(packing.load_encoding(path), path, text).tolist()
+    assert got == Tokenizer.from_file(path).encode(text, add_special_tokens=False).ids
+
+
+def test_packing_query_survives_a_long_blank_run(spark):
+    from skyweave.llm import packing
+
+    df = spark.createDataFrame([(1, " " * 1_200_000 + "end"), (2, "short text")], "doc_id long, text string")
+    rows = packing.pack(spark, df, public_tokenizers.path("byte_bpe_50k.json"), capacity=1024).collect()
+    per_doc = Counter()
+    for r in rows:
+        per_doc[r.doc_id] += r.length
+    assert per_doc[2] == 3 and per_doc[1] == rows[[r.doc_id for r in rows].index(1)].doc_tokens
