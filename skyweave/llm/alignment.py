@@ -38,7 +38,7 @@ B_FILE = "piece_bpe_32k.model"
 # Distinct linked pairs up to this many are sent to every task with the links; beyond it they are joined by key.
 BROADCAST_PAIRS = 2_000_000
 # Characters of text encoded at a time in a worker.
-SLICE_CHARS = 1 << 18
+SLICE_CHARS = 1 << 20
 
 _ROWS = "_row long, kind int, doc_id long, n_a long, n_b long, n_groups long, groups string, a int, b int, k long"
 
@@ -97,18 +97,23 @@ def lockstep(a_ends: list[np.ndarray], b_ends: list[np.ndarray]) -> tuple[list[n
     closes = np.zeros(room[-1], bool)
     steps = np.zeros(n, np.int64)
     live = np.flatnonzero((na > 0) & (nb > 0))
-    pa, pb, step = np.zeros(len(live), np.int64), np.zeros(len(live), np.int64), 0
+    # the state holds global pointers, their ends, and where each document writes its next link
+    ga, gb, out = a_base[live].copy(), b_base[live].copy(), room[live].copy()
+    end_a, end_b, first = ga + na[live], gb + nb[live], out.copy()
     while len(live):
-        ea, eb = a_all[a_base[live] + pa], b_all[b_base[live] + pb]
-        at = room[live] + step
-        link_a[at], link_b[at], closes[at] = pa, pb, ea == eb
-        pa = pa + (ea <= eb)
-        pb = pb + (eb <= ea)
-        step += 1
-        going = (pa < na[live]) & (pb < nb[live])
+        ea, eb = a_all[ga], b_all[gb]
+        link_a[out], link_b[out], closes[out] = ga, gb, ea == eb
+        ga += ea <= eb
+        gb += eb <= ea
+        out += 1
+        going = (ga < end_a) & (gb < end_b)
         if not going.all():  # compact: finished documents leave the state
-            steps[live[~going]] = step
-            live, pa, pb = live[going], pa[going], pb[going]
+            done = ~going
+            steps[live[done]] = out[done] - first[done]
+            live, ga, gb, out, end_a, end_b, first = (x[going] for x in (live, ga, gb, out, end_a, end_b, first))
+    doc_of = np.repeat(np.arange(n), na + nb)
+    link_a -= a_base[doc_of]
+    link_b -= b_base[doc_of]
     ranges = [slice(room[d], room[d] + steps[d]) for d in range(n)]
     return [link_a[r] for r in ranges], [link_b[r] for r in ranges], [closes[r] for r in ranges]
 
