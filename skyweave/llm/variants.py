@@ -7,7 +7,9 @@ points, since prefix + suffix >= n - 1. So each word is listed under four blocks
 points for n = its length and its length + 1); only words of a block can be near each other. A block is
 cut into tiles of at most TILE words, and each pair of tiles of a block is one group: its two tiles become
 padded code-point matrices, compared all at once in NumPy, prefix and suffix lengths from running
-products of equal columns. Big blocks thus spread over many tasks, each holding at most 2 * TILE words.
+products of equal columns. Big blocks thus spread over many tasks, each group holding at most 2 * TILE
+words. Rows are dealt by group and sorted, and a task walks its groups one after the other, as most
+blocks are tiny and a call per group would cost more than the comparison.
 A word's form is then the most frequent near word (aggregated by Spark), and roots follow forms by joins.
 
 Defined results:
@@ -20,6 +22,8 @@ Defined results:
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
 import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
@@ -116,6 +120,52 @@ def near_pairs(u: list[str], v: list[str]) -> tuple[np.ndarray, np.ndarray]:
     return np.nonzero(hit)
 
 
+_GROUP = ["side", "len", "key", "t1", "t2"]
+
+
+def compare_sorted(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    """Near pairs of all groups of a partition whose rows come sorted by group; a group that a batch cuts
+    off is carried into the next. Groups are found by comparing neighbouring keys, and each is compared
+    with NumPy on plain arrays, without a pandas frame per group."""
+    carry = None
+    for pdf in batches:
+        if carry is not None:
+            pdf = pd.concat([carry, pdf], ignore_index=True)
+        if pdf.empty:
+            continue
+        cols = [pdf[c].to_numpy() for c in _GROUP]
+        change = np.zeros(len(pdf), bool)
+        change[0] = True
+        for c in cols:
+            change[1:] |= c[1:] != c[:-1]
+        starts = np.flatnonzero(change)
+        carry = pdf.iloc[starts[-1] :].reset_index(drop=True)
+        yield _compare_slices(pdf, starts[:-1], starts[-1])
+    if carry is not None and not carry.empty:
+        yield _compare_slices(carry, np.array([0]), len(carry))
+
+
+def _compare_slices(pdf: pd.DataFrame, starts: np.ndarray, stop: int) -> pd.DataFrame:
+    words, counts, first = pdf["word"].tolist(), pdf["n"].to_numpy(), pdf["first"].to_numpy()
+    same_tile = (pdf["t1"].to_numpy() == pdf["t2"].to_numpy())
+    out_w, out_v, out_n = [], [], []
+    for lo, hi in zip(starts.tolist(), [*starts[1:].tolist(), stop]):
+        if same_tile[lo]:
+            a = b = np.arange(lo, hi)
+        else:
+            a = lo + np.flatnonzero(first[lo:hi])
+            b = lo + np.flatnonzero(~first[lo:hi])
+        if len(a) == 0 or len(b) == 0 or (same_tile[lo] and len(a) < 2):
+            continue
+        i, j = near_pairs([words[x] for x in a], [words[x] for x in b])
+        if len(i):
+            ga, gb = a[i], b[j]
+            out_w += [words[x] for x in ga] + [words[x] for x in gb]
+            out_v += [words[x] for x in gb] + [words[x] for x in ga]
+            out_n += counts[gb].tolist() + counts[ga].tolist()
+    return pd.DataFrame({"word": out_w, "near": out_v, "near_n": np.array(out_n, dtype=np.int64)})
+
+
 def compare_group(group: pd.DataFrame) -> pd.DataFrame:
     """Near pairs between the two tiles of a group (within the tile when both are one), both ways round."""
     first = group[group["first"]]
@@ -130,8 +180,8 @@ def compare_group(group: pd.DataFrame) -> pd.DataFrame:
 def spelling_variants(spark: SparkSession, docs: DataFrame) -> DataFrame:
     """word, form, root, n, n_near, form_n for every counted word."""
     words = stage(spark, word_counts(docs))
-    grouped = tile_pairs(blocks(words)).groupBy("side", "len", "key", "t1", "t2")
-    pairs = grouped.applyInPandas(compare_group, _PAIRS).dropDuplicates(["word", "near"])
+    dealt = tile_pairs(blocks(words)).repartition(*_GROUP).sortWithinPartitions(*_GROUP)
+    pairs = dealt.mapInPandas(compare_sorted, _PAIRS).dropDuplicates(["word", "near"])
     best = pairs.groupBy("word").agg(
         F.count(F.lit(1)).alias("n_near"), F.min(F.struct((-F.col("near_n")).alias("m"), F.col("near").alias("w"))).alias("top"),
     )
