@@ -140,9 +140,13 @@ def compare_sorted(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
             change[1:] |= c[1:] != c[:-1]
         starts = np.flatnonzero(change)
         carry = pdf.iloc[starts[-1] :].reset_index(drop=True)
-        yield _compare_slices(pdf, starts[:-1], starts[-1])
+        found = _compare_slices(pdf, starts[:-1], starts[-1])
+        if len(found):
+            yield found
     if carry is not None and not carry.empty:
-        yield _compare_slices(carry, np.array([0]), len(carry))
+        found = _compare_slices(carry, np.array([0]), len(carry))
+        if len(found):
+            yield found
 
 
 def _compare_slices(pdf: pd.DataFrame, starts: np.ndarray, stop: int) -> pd.DataFrame:
@@ -163,7 +167,7 @@ def _compare_slices(pdf: pd.DataFrame, starts: np.ndarray, stop: int) -> pd.Data
             out_w += [words[x] for x in ga] + [words[x] for x in gb]
             out_v += [words[x] for x in gb] + [words[x] for x in ga]
             out_n += counts[gb].tolist() + counts[ga].tolist()
-    return pd.DataFrame({"word": out_w, "near": out_v, "near_n": np.array(out_n, dtype=np.int64)})
+    return pd.DataFrame({"word": pd.Series(out_w, dtype=object), "near": pd.Series(out_v, dtype=object), "near_n": np.array(out_n, dtype=np.int64)})
 
 
 def compare_group(group: pd.DataFrame) -> pd.DataFrame:
