@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import json
+import time
 
 import pytest
 
@@ -95,6 +96,24 @@ def test_xml_of_any_depth(spark):
     assert (lax.airport, lax.delay_type, lax.reason, lax.extra) == ("LAX", "", "a < b", None)
 
 
+def test_long_status_page_costs_no_more_a_programme(spark):
+    """A page of many programmes: work grows with its text, not with programmes times texts."""
+    one = "<Stop><ARPT>k{0}</ARPT><Reason>{0} &amp; more</Reason><k>1</k><k>{0}</k><Q no='a&lt;'>v</Q><Avg> </Avg></Stop>"
+    text = "<R><Update_Time>Wed Jul 29 14:30:34 2026 GMT</Update_Time><Delay_type><L>" + "".join(one.format(i) for i in range(6000)) + "</L><Name>N</Name></Delay_type></R>"
+    began = time.monotonic()
+    rows = parse(spark, "disruption", {"xml": text})
+    assert time.monotonic() - began < 30
+    assert [(r.airport, r.delay_type, r.reason, r.avg_delay, r.extra) for r in rows] == [(f"K{i}", "N", f"{i} & more", None, f"k={i}; q_a<=v") for i in range(6000)]
+
+
+def test_programmes_within_programmes(spark):
+    inner = "<In><Reason>i</Reason><ARPT>b</ARPT></In>"
+    text = f"<R><Update_Time>x</Update_Time><Delay_type><Name>old</Name><Out>loose<ARPT>a</ARPT>{inner}<ARPT>c</ARPT></Out><Name>new</Name></Delay_type></R>"
+    out, within = parse(spark, "disruption", {"xml": text})
+    assert (out.airport, out.delay_type, out.reason, out.extra) == ("C", "new", None, "in_arpt=b; in_reason=i")
+    assert (within.airport, within.reason, within.extra) == ("B", "i", None)
+
+
 def test_reference_pages(spark):
     page = "'registration','icao24','x','operator'\r\n'N1','ABC','','O''Neil, ''the\nsecond'''\n,DEF,,\n'','GHI'\n"
     data = spark.createDataFrame([("p", 1, page), ("q", 2, "'icao24'\n"), ("r", 3, "")], "page_id string, captured_at bigint, payload string")
