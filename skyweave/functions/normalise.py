@@ -182,8 +182,9 @@ def overflow(pairs: Column, named: list[str]) -> Column:
 def first_translation(translations: Column) -> Column:
     """Formatted (else simple) text of the first element that holds anything."""
     filled = F.filter(translations, lambda t: F.size(field(t, as_type="map<string,variant>")) > 0)
-    first = F.get(filled, F.lit(0))
-    return F.coalesce(blank_to_null(field(first, "formattedText")), field(first, "simpleText"))
+    # a lambda variable, so that the first filled element is found once however often it is named
+    text = lambda t: F.coalesce(blank_to_null(field(t, "formattedText")), field(t, "simpleText"))
+    return F.element_at(F.transform(F.array(F.get(filled, F.lit(0))), text), 1)
 
 
 def text_or_object(v: Column, key: str = "name") -> Column:

@@ -67,31 +67,40 @@ def parse_gairmet(pages: DataFrame) -> DataFrame:
     )
 
 
+NOTAM_FIELDS = (
+    "id", "number", "location", "icaoLocation", "type", "classification", "effectiveStart", "effectiveEnd", "issued",
+    "affectedFIR", "selectionCode", "minimumFL", "maximumFL", "text",
+)
+
+
 def parse_notam(pages: DataFrame) -> DataFrame:
     """Notices; the number stands in for a missing id, and a notice with neither is skipped."""
     i = F.col("item")
     core = lambda key: N.field(i, "properties", "coreNOTAMData", "notam", key)
+    # the notice is read out of its item as one struct: a path walked once, not once a column
+    read = N.field(i, "properties", "coreNOTAMData", "notam", as_type="struct<" + ", ".join(f"{k}: string" for k in NOTAM_FIELDS) + ">")
+    got = lambda key: F.col(f"_notam.{key}")
     rows = exploded(pages, "_location string, items array<variant>", "items", asked=F.col("p._location"))
     translations = N.field(i, "properties", "coreNOTAMData", "notamTranslation", as_type="array<variant>")
     return (
-        rows.withColumn("notam_id", F.coalesce(N.blank_to_null(core("id")), N.blank_to_null(core("number"))))
-        .where(F.col("notam_id").isNotNull())
+        rows.where((core("id") != "") | (core("number") != ""))
+        .withColumn("_notam", read)
         .select(
             *ORIGIN,
-            "notam_id",
-            core("number").alias("number"),
-            F.coalesce(N.blank_to_null(core("location")), "asked").alias("location"),
-            F.coalesce(N.blank_to_null(core("icaoLocation")), "asked").alias("icao_location"),
-            core("type").alias("type"),
-            core("classification").alias("classification"),
-            core("effectiveStart").alias("effective_start"),
-            core("effectiveEnd").alias("effective_end"),
-            core("issued").alias("issued"),
-            core("affectedFIR").alias("affected_fir"),
-            core("selectionCode").alias("selection_code"),
-            core("minimumFL").alias("minimum_fl"),
-            core("maximumFL").alias("maximum_fl"),
-            core("text").alias("text"),
+            F.coalesce(N.blank_to_null(got("id")), N.blank_to_null(got("number"))).alias("notam_id"),
+            got("number").alias("number"),
+            F.coalesce(N.blank_to_null(got("location")), "asked").alias("location"),
+            F.coalesce(N.blank_to_null(got("icaoLocation")), "asked").alias("icao_location"),
+            got("type").alias("type"),
+            got("classification").alias("classification"),
+            got("effectiveStart").alias("effective_start"),
+            got("effectiveEnd").alias("effective_end"),
+            got("issued").alias("issued"),
+            got("affectedFIR").alias("affected_fir"),
+            got("selectionCode").alias("selection_code"),
+            got("minimumFL").alias("minimum_fl"),
+            got("maximumFL").alias("maximum_fl"),
+            got("text").alias("text"),
             N.first_translation(translations).alias("formatted_text"),
         )
     )

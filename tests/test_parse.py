@@ -138,6 +138,20 @@ def test_notam(spark):
     assert (b.notam_id, b.formatted_text) == ("77", "F")
 
 
+def test_notices_are_read_once(spark):
+    """Every field of a notice comes from one struct, not from a path of its own."""
+    item = lambda notam, tr=None: {"properties": {"coreNOTAMData": {"notam": notam, "notamTranslation": tr}}}
+    pages = spark.createDataFrame([("p", 1, json.dumps({"_location": "L", "items": [
+        item({"id": "", "number": 7, "text": {"b": [1]}, "type": None, "issued": 1.5}, {"simpleText": "no list"}),
+        item("N1"), item(["N2"]), item({"id": "x", "location": "", "minimumFL": True}, [{}, 3, {"formattedText": "", "simpleText": "s"}]),
+    ]}))], "page_id string, captured_at bigint, payload string")
+    rows = PARSERS["notam"].parse(pages)
+    a, b = rows.collect()
+    assert (a.notam_id, a.number, a.text, a.type, a.issued, a.location, a.formatted_text, a._ordinal) == ("7", "7", '{"b":[1]}', None, "1.5", "L", None, 0)
+    assert (b.notam_id, b.number, b.location, b.minimum_fl, b.formatted_text, b._ordinal) == ("x", None, "L", "true", "s", 3)
+    assert rows._jdf.queryExecution().optimizedPlan().toString().count("coreNOTAMData.notam,") <= 3
+
+
 def test_fuel(spark):
     a, b = parse(spark, "fuel", {"response": {"data": [
         {"period": "2026-01-01", "series": "S", "value": "2.5", "product-name": "Jet"}, {"series": "S"}, {"period": "2026-01-02", "duoarea": "NYH", "value": "n/a"}]}})
