@@ -41,6 +41,8 @@ FORM_RATIO = 10
 # Words of one tile; a group holds two tiles. One comparison holds at most CELLS code points.
 TILE = 512
 CELLS = 1 << 24
+# Groups of one tile with at most this many words are compared word by word, which costs less than matrices.
+FEW = 8
 
 _PAIRS = "word string, near string, near_n long"
 
@@ -120,6 +122,18 @@ def near_pairs(u: list[str], v: list[str]) -> tuple[np.ndarray, np.ndarray]:
     return np.nonzero(hit)
 
 
+def one_edit(u: str, v: str) -> bool:
+    """Whether two words differ by exactly one inserted, deleted or replaced code point."""
+    if len(u) < len(v):
+        u, v = v, u
+    if len(u) - len(v) > 1 or u == v:
+        return False
+    i = 0
+    while i < len(v) and u[i] == v[i]:
+        i += 1
+    return u[i + 1 :] == (v[i + 1 :] if len(u) == len(v) else v[i:])
+
+
 _GROUP = ["side", "len", "key", "t1", "t2"]
 
 
@@ -154,6 +168,14 @@ def _compare_slices(pdf: pd.DataFrame, starts: np.ndarray, stop: int) -> pd.Data
     same_tile = (pdf["t1"].to_numpy() == pdf["t2"].to_numpy())
     out_w, out_v, out_n = [], [], []
     for lo, hi in zip(starts.tolist(), [*starts[1:].tolist(), stop]):
+        if same_tile[lo] and hi - lo <= FEW:
+            for x in range(lo, hi - 1):
+                for y in range(x + 1, hi):
+                    if one_edit(words[x], words[y]):
+                        out_w += [words[x], words[y]]
+                        out_v += [words[y], words[x]]
+                        out_n += [int(counts[y]), int(counts[x])]
+            continue
         if same_tile[lo]:
             a = b = np.arange(lo, hi)
         else:

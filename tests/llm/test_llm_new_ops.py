@@ -307,3 +307,24 @@ def test_packing_query_survives_a_long_blank_run(spark):
     for r in rows:
         per_doc[r.doc_id] += r.length
     assert per_doc[2] == 3 and per_doc[1] == rows[[r.doc_id for r in rows].index(1)].doc_tokens
+
+
+def test_small_groups_need_no_matrices(monkeypatch):
+    """Groups of a few words, which most blocks are, give the pairs of the matrices without building any."""
+    import itertools
+    import random
+
+    import pandas as pd
+
+    from skyweave.llm import variants
+
+    pick = random.Random(5)
+    words = ["".join(pick.choice("abé") for _ in range(pick.randrange(5))) for _ in range(300)]
+    for u, v in itertools.combinations(sorted(set(words)), 2):
+        assert variants.one_edit(u, v) == variants.one_edit(v, u) == bool(len(variants.near_pairs([u], [v])[0]))
+    monkeypatch.setattr(variants, "near_pairs", None)
+    rows = [("abcd", 5), ("abce", 3), ("xbcd", 2)]
+    pdf = pd.DataFrame([(w, n, "p", 4, k, 0, 0, True) for k in ("ab", "ac") for w, n in rows], columns=["word", "n", "side", "len", "key", "t1", "t2", "first"])
+    found = pd.concat(variants.compare_sorted(iter([pdf])))
+    want = {("abcd", "abce", 3), ("abce", "abcd", 5), ("abcd", "xbcd", 2), ("xbcd", "abcd", 5)}
+    assert set(found.itertuples(index=False, name=None)) == want and len(found) == 2 * len(want)
