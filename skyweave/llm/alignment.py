@@ -265,8 +265,13 @@ def align(spark: SparkSession, docs: DataFrame, a_path: str, b_path: str) -> Dat
     rows = docs.select(F.monotonically_increasing_id().alias("_row"), F.col("doc_id").cast("long").alias("doc_id"), F.col("text"))
     aligned = stage(spark, rows.mapInPandas(lambda it: align_batches(it, a_path, b_path), _ROWS))
     links = aligned.where("kind = 1").select("_row", "doc_id", "a", "b", "k")
-    # a document is a distinct id: repeated rows count once; partial aggregation keeps hot pairs small
-    pair_docs = links.select("doc_id", "a", "b").dropDuplicates().groupBy("a", "b").agg(F.count(F.lit(1)).alias("docs"))
+    # a document is a distinct id: a row's pairs are distinct already, so only links of ids that rows share are
+    # made distinct; partial aggregation keeps hot pairs small
+    shared = stage(spark, aligned.where("kind = 0").groupBy("doc_id").agg(F.count(F.lit(1)).alias("rows")).where("rows > 1").select(F.col("doc_id").alias("_shared")))
+    is_shared = links["doc_id"].eqNullSafe(shared["_shared"])
+    once = links.join(shared, is_shared, "left_anti").select("a", "b")
+    several = links.join(shared, is_shared, "left_semi").select("doc_id", "a", "b").dropDuplicates().select("a", "b")
+    pair_docs = once.unionAll(several).groupBy("a", "b").agg(F.count(F.lit(1)).alias("docs"))
     best = pair_docs.groupBy("a").agg(F.max("docs").alias("most"))
     pairs = stage(spark, pair_docs.join(best, "a").select("a", "b", "docs", (F.col("docs") == F.col("most")).cast("long").alias("best")))
     if pairs.count() <= BROADCAST_PAIRS:  # a measured bound: the pair table goes to every task

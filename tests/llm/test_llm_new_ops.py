@@ -328,3 +328,17 @@ def test_small_groups_need_no_matrices(monkeypatch):
     found = pd.concat(variants.compare_sorted(iter([pdf])))
     want = {("abcd", "abce", 3), ("abce", "abcd", 5), ("abcd", "xbcd", 2), ("xbcd", "abcd", 5)}
     assert set(found.itertuples(index=False, name=None)) == want and len(found) == 2 * len(want)
+
+
+def test_pairs_of_shared_ids_count_once(spark):
+    """Rows that share an id (or have none) are one document in the counts; other rows need no distinct step."""
+    import public_tokenizers
+
+    from skyweave.llm import alignment
+
+    paths = public_tokenizers.path(alignment.A_FILE), public_tokenizers.path(alignment.B_FILE)
+    rows = [(1, "hello"), (1, "hello"), (2, "hello"), (None, "hello"), (None, "hello"), (3, None), (3, "hello")]
+    out = alignment.align(spark, spark.createDataFrame(rows, "doc_id long, text string"), *paths).collect()
+    assert len(out) == len(rows) and {r.count_sum for r in out if r.n_links} == {4 * r.n_links for r in out if r.n_links}
+    alone = alignment.align(spark, spark.createDataFrame([(1, "hello"), (2, "hello")], "doc_id long, text string"), *paths)
+    assert [r.count_sum for r in alone.collect()] == [2 * r.n_links for r in alone.collect()]
