@@ -188,9 +188,16 @@ def upsert(spark: SparkSession, root: str, name: str, rows: DataFrame, is_staged
     """Merge rows into a table; running it again changes nothing, and no rows means no write.
 
     A merge reads its input several times; rows that are not ``is_staged`` already are written once first.
+    The first rows of a table are merged before they get the columns they lack.
     """
-    new = conform(rows, TABLES[name])
-    if is_staged or not exists(spark, table_path(root, name)):
+    table = TABLES[name]
+    new = conform(rows, table)
+    if not exists(spark, table_path(root, name)):
+        have = [c for c in new.columns if c in rows.columns or c in table.keys or c in ARRIVAL]
+        first = keep_last(new.select(*[f"`{c}`" for c in have]), table.keys, list(ARRIVAL), table.nullable_keys)
+        write_partitions(conform(first, table), root, name)
+        return
+    if is_staged:
         write_partitions(merged(spark, root, name, new), root, name)
         return
     with staged(spark, new) as parsed:
@@ -207,10 +214,11 @@ def replace_rows(
     """
     table = TABLES[name]
     parts = table.partition_columns
-    with staged(spark, conform(rows, table).drop(*ARRIVAL)) as new:
-        if not exists(spark, table_path(root, name)):
-            write_partitions(new, root, name)
-            return
+    fresh = conform(rows, table).drop(*ARRIVAL)
+    if not exists(spark, table_path(root, name)):
+        write_partitions(fresh, root, name)
+        return
+    with staged(spark, fresh) as new:
         values = scope.select(*on).distinct()
         stored = read_table(spark, root, name).select(*new.columns)
         scoped = stored.join(values, list(on), "left_semi").select(*new.columns)

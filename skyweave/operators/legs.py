@@ -19,9 +19,8 @@ from skyweave.operators.segments import (
     DEFAULT_CHUNK_SECONDS,
     DEFAULT_GAP_SECONDS,
     local_pieces,
-    number_segments,
+    numbered_pieces,
     piece_facts,
-    with_segment,
 )
 from skyweave.session import stage
 
@@ -58,50 +57,59 @@ def leg_pieces(
     ]
     n = F.col("_n")
     located = F.when(F.col("latitude").isNotNull() & F.col("longitude").isNotNull(), n)
-    ends = {}
-    for c in ("latitude", "longitude"):
-        ends[f"first_{c}"], ends[f"last_{c}"] = F.min_by(c, n), F.max_by(c, n)
-        ends[f"from_{c}"], ends[f"to_{c}"] = F.min_by(c, located), F.max_by(c, located)
-    return local.groupBy("hex", "chunk", "piece").agg(
+    place = F.struct("latitude", "longitude")
+    ends = {
+        "first": F.min_by(F.struct("latitude", "longitude", "hub"), n), "last": F.max_by(place, n),
+        "from": F.min_by(place, located), "to": F.max_by(place, located),
+    }
+    places = [F.col(f"_{end}.{c}").alias(f"{end}_{c}") for c in ("latitude", "longitude") for end in ends]
+    pieces = local.groupBy("hex", "chunk", "piece").agg(
         *piece_facts(),
         *first_text,
-        F.min_by("hub", n).alias("hub"),
-        *[end.alias(name) for name, end in ends.items()],
+        *[end.alias(f"_{name}") for name, end in ends.items()],
         F.bool_or(~F.col("_ground")).alias("airborne"),
         F.count(F.lit(1)).alias("fix_count"),
         F.max("alt_baro").alias("max_alt_ft"),
         F.max("ground_speed").alias("max_ground_speed_kt"),
         F.coalesce(F.sum("_step"), F.lit(0.0)).alias("flown"),
     )
+    return pieces.select("*", F.col("_first.hub").alias("hub"), *places).drop(*[f"_{end}" for end in ends])
 
 
 def segments_from_pieces(pieces: DataFrame, gap_seconds: int = DEFAULT_GAP_SECONDS) -> DataFrame:
     """Merge pieces into whole segments: one row per ``(hex, seg)``, unrounded, nothing filtered."""
-    numbered = with_segment(pieces, number_segments(pieces, gap_seconds))
-    # A segment has at most two pieces per chunk it spans.
-    in_order = Window.partitionBy("hex", "seg").orderBy("chunk", "piece")
+    numbered = numbered_pieces(pieces, gap_seconds)
+    in_order = Window.partitionBy("hex").orderBy("chunk", "piece")
     earlier = in_order.rowsBetween(Window.unboundedPreceding, -1)
-    reached = [F.last(c, ignorenulls=True).over(earlier) for c in ("to_latitude", "to_longitude")]
-    bridged = numbered.withColumns({"_lat": reached[0], "_lon": reached[1]}).withColumn(
-        "bridge", great_circle_nm(F.col("_lat"), F.col("_lon"), F.col("from_latitude"), F.col("from_longitude"))
-    )
-    at = F.struct("chunk", "piece")
-    first_text = [F.min_by(c, F.when(F.col(c).isNotNull(), at)).alias(c) for c in FIRST_SEEN_TEXT]
-    return bridged.groupBy("hex", "seg").agg(
+    n, located = F.col("_n"), F.col("to_latitude").isNotNull()
+    reached = {
+        f"_{c}": F.last(F.when(located, F.col(c)), ignorenulls=True).over(earlier)
+        for c in ("_n", "to_latitude", "to_longitude")
+    }
+    bridge = great_circle_nm(F.col("_to_latitude"), F.col("_to_longitude"), F.col("from_latitude"), F.col("from_longitude"))
+    bridged = numbered.withColumns(reached).withColumn("bridge", F.when(F.col("__n") >= F.col("_start"), bridge))
+    first_text = [F.min_by(c, F.when(F.col(c).isNotNull(), n)).alias(c) for c in FIRST_SEEN_TEXT]
+    first = F.struct("hub", "first_ground", F.struct(F.col("first_latitude").alias("latitude"), F.col("first_longitude").alias("longitude")).alias("fix"))
+    last = F.struct("last_ground", F.struct(F.col("last_latitude").alias("latitude"), F.col("last_longitude").alias("longitude")).alias("fix"))
+    merged = bridged.groupBy("hex", "seg").agg(
         *first_text,
-        F.min_by("hub", at).alias("hub"),
+        F.min_by(first, n).alias("_first"),
+        F.max_by(last, n).alias("_last"),
         F.min("first_t").alias("start_time"),
         F.max("last_t").alias("end_time"),
-        F.min_by("first_ground", at).alias("dep_observed"),
-        F.max_by("last_ground", at).alias("arr_observed"),
-        F.min_by(F.struct(F.col("first_latitude").alias("latitude"), F.col("first_longitude").alias("longitude")), at).alias("first_fix"),
-        F.max_by(F.struct(F.col("last_latitude").alias("latitude"), F.col("last_longitude").alias("longitude")), at).alias("last_fix"),
         F.bool_or("airborne").alias("airborne"),
         F.sum("fix_count").alias("fix_count"),
         F.max("max_alt_ft").alias("max_alt_ft"),
         F.max("max_ground_speed_kt").alias("max_ground_speed_kt"),
         F.sum(F.col("flown") + F.coalesce(F.col("bridge"), F.lit(0.0))).alias("flown"),
     )
+    return merged.withColumns({
+        "hub": F.col("_first.hub"),
+        "dep_observed": F.col("_first.first_ground"),
+        "arr_observed": F.col("_last.last_ground"),
+        "first_fix": F.col("_first.fix"),
+        "last_fix": F.col("_last.fix"),
+    }).drop("_first", "_last")
 
 
 def unnamed_legs(

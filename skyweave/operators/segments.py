@@ -146,6 +146,43 @@ def number_segments(pieces: DataFrame, gap_seconds: int = DEFAULT_GAP_SECONDS) -
     )
 
 
+def numbered_pieces(pieces: DataFrame, gap_seconds: int = DEFAULT_GAP_SECONDS) -> DataFrame:
+    """Add ``seg`` to pieces, with the same numbers as :func:`number_segments` and :func:`with_segment`, and
+    the working columns ``_n`` (order within the aircraft) and ``_start`` (``_n`` of the segment's first piece).
+
+    Pieces are few, so they are scanned themselves, in one shuffle and without a join: every piece sets the
+    armed state, clears it or leaves it, and opens a segment unless its cut is open and finds it unarmed.
+    """
+    in_order = Window.partitionBy("hex").orderBy("chunk", "piece")
+    earlier = in_order.rowsBetween(Window.unboundedPreceding, -1)
+    so_far = in_order.rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    no, opens = F.lit(False), ~F.lag("chunk").over(in_order).eqNullSafe(F.col("chunk"))
+    gap0 = opens & (F.col("first_t") - F.lag("last_t").over(in_order) > gap_seconds)
+    pair0 = opens & F.col("first_ground") & F.lag("last_ground").over(in_order)
+    leaves = F.when(F.col("air_n").isNotNull(), F.coalesce(F.col("event_n"), F.lit(0)) <= F.col("air_n")).when(
+        F.col("event_n").isNotNull() | F.col("_gap0") | F.col("_pair0"), no
+    )
+    cut = F.when(F.col("_opens"), F.col("_gap0") | (F.col("_pair0") & F.col("_armed"))).otherwise(
+        ~F.col("maybe") | F.col("_armed")
+    )
+    return (
+        pieces.withColumns({
+            "_n": F.row_number().over(in_order),
+            "_opens": opens,
+            "_gap0": F.coalesce(gap0, no),
+            "_pair0": F.coalesce(pair0, no),
+        })
+        .withColumn("_leaves", leaves)
+        .withColumn("_armed", F.coalesce(F.last("_leaves", ignorenulls=True).over(earlier), no))
+        .withColumn("_cut", cut)
+        .withColumns({
+            "seg": F.sum(F.col("_cut").cast("int")).over(so_far),
+            "_start": F.coalesce(F.max(F.when(F.col("_cut"), F.col("_n"))).over(so_far), F.lit(1)),
+        })
+        .drop("_opens", "_gap0", "_pair0", "_leaves", "_armed", "_cut")
+    )
+
+
 def with_segment(rows: DataFrame, numbering: DataFrame) -> DataFrame:
     """Add ``seg`` (0 for an aircraft's first segment) to rows carrying ``hex, chunk, piece``."""
     voided = (F.col("void_cut") & (F.col("piece") > 0)).cast("int")

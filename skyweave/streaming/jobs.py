@@ -129,7 +129,7 @@ def run_legs(
         with staged(spark, batch) as fresh:
             usable = fresh.where((F.col("hex") != "") & F.col("snapshot_time").isNotNull())
             with staged(spark, usable.select("hex", chunk.alias("chunk")).distinct()) as touched:
-                lake.upsert(spark, root, "fct_position", fresh)
+                lake.upsert(spark, root, "fct_position", fresh, is_staged=True)
                 refresh_pieces(spark, touched, chunk)
                 refresh_legs(spark, touched.select("hex").distinct())
 

@@ -7,9 +7,10 @@ import random
 
 import pytest
 
-from skyweave.operators.legs import flight_legs, track_distance
+from skyweave.operators import nearest
+from skyweave.operators.legs import flight_legs, leg_pieces, segments_from_pieces, track_distance
 from skyweave.operators.nearest import nearest_within
-from skyweave.operators.segments import segment_fixes
+from skyweave.operators.segments import number_segments, numbered_pieces, segment_fixes, with_segment
 
 DDL = (
     "hex string, snapshot_time bigint, latitude double, longitude double, alt_baro int, on_ground boolean, hub string, "
@@ -164,3 +165,43 @@ def test_nearest_equals_brute_force(spark, radius):
         spark.createDataFrame(sites, "ident string, latitude double, longitude double"), radius,
     )
     assert {r.id: r.ident for r in found.collect()} == want
+
+
+def test_pieces_are_numbered_alike_in_one_shuffle(spark, tmp_path):
+    """Scanning the pieces gives the numbers of the scan over chunks; merging them moves them once, without a join."""
+    path = str(tmp_path / "pieces")
+    leg_pieces(frame(spark, random_fixes(7, 30, hot=400)), 900, chunk_seconds=1800).write.parquet(path)
+    pieces = spark.read.parquet(path)
+    columns = ["hex", "chunk", "piece", "seg"]
+    got, want = numbered_pieces(pieces, 900), with_segment(pieces, number_segments(pieces, 900))
+    assert sorted(map(tuple, got.select(columns).collect())) == sorted(map(tuple, want.select(columns).collect()))
+    plan = segments_from_pieces(pieces, 900)._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Exchange hashpartitioning") == 1 and "Join" not in plan
+
+
+def test_dense_sites_are_looked_up_close_by(spark, monkeypatch):
+    """Among dense sites only points with nothing near are looked up within the whole radius; ties and keys
+    that repeat come out as without the first lookup."""
+    rng = random.Random(4)
+    sites = [(f"S{i:03d}", 40 + rng.random(), -74 + rng.random()) for i in range(400)]
+    sites += [("T2", 44.0, -74.5), ("T1", 44.0, -73.5)]
+    points = [(i, 40 + rng.random(), -74 + rng.random()) for i in range(200)] + [(200, 44.0, -74.0), (0, 43.9, -74.0), (201, 0.0, 0.0)]
+    want = {}
+    for i, lat, lon in points:
+        d = min(((haversine(lat, lon, a, b), s) for s, a, b in sites), default=None)
+        if d[0] <= 60.0:
+            want[i] = min(want.get(i, d), d)
+    assert want.pop(200)[1] in ("T1", "T2")
+    pairs = []
+    within = nearest._in_reach
+    monkeypatch.setattr(nearest, "_in_reach", lambda *a: pairs.append(within(*a)) or pairs[-1])
+    found = {
+        r.id: (r.distance_nm, r.ident)
+        for r in nearest_within(
+            spark.createDataFrame(points, "id int, latitude double, longitude double"), ["id"],
+            spark.createDataFrame(sites, "ident string, latitude double, longitude double"), 60.0,
+        ).collect()
+    }
+    assert found.pop(200)[1] == "T1"
+    assert {i: s for i, (_, s) in found.items()} == {i: s for i, (_, s) in want.items()}
+    assert sum(p.where("_found IS NOT NULL").count() for p in pairs) < 200 * 400 / 4
