@@ -15,7 +15,7 @@ from pyspark.sql import types as T
 
 from skyweave.operators.latest import keep_last
 from skyweave.schemas import TABLES, Table
-from skyweave.session import delete, staged
+from skyweave.session import LONG_ROWS, delete, staged
 
 BRONZE_SCHEMA = (
     "page_id string, captured_at bigint, payload string, sha256 string, source string, dt string, hh string"
@@ -34,24 +34,45 @@ def exists(spark: SparkSession, path: str) -> bool:
 # ---- bronze -------------------------------------------------------------------------------------
 
 
-def archive(payloads: DataFrame, root: str) -> None:
+def archive(payloads: DataFrame, root: str, is_staged: bool = False) -> None:
     """Append payloads (``source, page_id, captured_at`` in epoch ms, ``payload``) to the archive.
 
     The payload text is kept as received and never rewritten. A page that the archive already holds, with
     the same hour of capture and the same hash, is not written again. JSON payloads can be read in canonical
     form with :func:`canonical_json`.
+
+    Payloads are read several times; those that are not ``is_staged`` already are written once first. Only the
+    pages' keys are grouped; texts move just once, to the partition they are written to, and those that come
+    again once more.
     """
     spark = payloads.sparkSession
+    if not is_staged:
+        with staged(spark, with_hash(payloads), LONG_ROWS) as pages:
+            archive(pages, root, is_staged=True)
+        return
     page = ["source", "dt", "hh", "page_id", "sha256"]
-    new = bronze_rows(payloads).dropDuplicates(page)
+    rows = bronze_rows(payloads)
+    keys = rows.select(*page, F.lit(1).alias("_new"))
     if exists(spark, f"{root}/bronze"):
         stored = spark.read.schema(BRONZE_SCHEMA).parquet(f"{root}/bronze")
-        stored = in_partitions(stored, new.select("source", "dt", "hh").distinct(), ["source", "dt", "hh"])
-        same = [new[c].eqNullSafe(stored[c]) for c in page]
-        new = new.join(stored, same, "left_anti")
-    new.hint("rebalance", "source", "dt", "hh").write.mode("append").option(
-        "compression", "zstd"
-    ).partitionBy("source", "dt", "hh").parquet(f"{root}/bronze")
+        stored = in_partitions(stored, rows.select("source", "dt", "hh").distinct(), ["source", "dt", "hh"])
+        keys = keys.unionAll(stored.select(*page, F.lit(0).alias("_new")))
+    copies = keys.groupBy(*page).agg(F.sum("_new").alias("_copies"), F.bool_or(F.col("_new") == 0).alias("_held"))
+    with staged(spark, copies.where("_copies > 0")) as seen:
+        if not seen.isEmpty() and seen.where("NOT _held").isEmpty():
+            return
+        some = lambda which: seen.where(which).select(*[F.col(c).alias(f"_{c}") for c in page])
+        named = lambda df, which, how: df.join(some(which), [F.col(c).eqNullSafe(F.col(f"_{c}")) for c in page], how)
+        new, again = named(rows, "_held OR _copies > 1", "left_anti"), "NOT _held AND _copies > 1"
+        if not seen.where(again).isEmpty():
+            new = new.unionByName(named(rows, again, "left_semi").dropDuplicates(page))
+        new.hint("rebalance", "source", "dt", "hh").write.mode("append").options(
+            compression="zstd", **LONG_ROWS
+        ).partitionBy("source", "dt", "hh").parquet(f"{root}/bronze")
+
+
+def with_hash(payloads: DataFrame) -> DataFrame:
+    return payloads.select("source", "page_id", "captured_at", "payload", F.sha2("payload", 256).alias("sha256"))
 
 
 def bronze_rows(payloads: DataFrame) -> DataFrame:
@@ -60,7 +81,7 @@ def bronze_rows(payloads: DataFrame) -> DataFrame:
         "page_id",
         "captured_at",
         "payload",
-        F.sha2("payload", 256).alias("sha256"),
+        F.col("sha256") if "sha256" in payloads.columns else F.sha2("payload", 256).alias("sha256"),
         "source",
         F.date_format(at, "yyyy-MM-dd").alias("dt"),
         F.date_format(at, "HH").alias("hh"),

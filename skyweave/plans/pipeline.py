@@ -11,7 +11,7 @@ from skyweave import lake
 from skyweave.operators.identity import aircraft_dimension
 from skyweave.operators.legs import flight_legs
 from skyweave.plans import operations
-from skyweave.session import staged
+from skyweave.session import LONG_ROWS, staged
 from skyweave.sources import PARSERS
 
 
@@ -28,9 +28,9 @@ def ingest(spark: SparkSession, root: str, source: str, payloads: DataFrame, run
     started = int(time.time())
     table = PARSERS[source].table
     received = payloads.select(F.lit(source).alias("source"), "page_id", "captured_at", "payload")
-    with staged(spark, received) as pages:
+    with staged(spark, lake.with_hash(received), LONG_ROWS) as pages:
         try:
-            lake.archive(pages, root)
+            lake.archive(pages, root, is_staged=True)
             with staged(spark, parse(pages, source)) as rows:
                 lake.upsert(spark, root, table, rows, is_staged=True)
                 if keep_ledger:

@@ -5,7 +5,9 @@ from __future__ import annotations
 import json
 import random
 
+import pyarrow.parquet as pq
 import pytest
+from pyspark.sql import DataFrameWriter
 from pyspark.sql import functions as F
 from test_segments_and_legs import AIRPORTS, DDL, random_fixes
 
@@ -167,6 +169,38 @@ def test_ingest_then_replay_gives_the_same_table(spark, tmp_path):
     assert spark.read.parquet(f"{root}/ops/lineage").where("run_id = 'r1'").count() == 2
 
 
+def test_pages_are_stored_in_small_row_groups(spark, tmp_path, monkeypatch):
+    """A reader holds up to thousands of rows of a row group at once, so pages must come in few rows each."""
+    root, held = str(tmp_path / "lake"), []
+    groups = lambda files: [g for f in files for m in [pq.ParquetFile(f.removeprefix("file:")).metadata] for g in (m.row_group(i).num_rows for i in range(m.num_row_groups))]
+    plain = pipeline.parse
+    monkeypatch.setattr(pipeline, "parse", lambda p, s: held.extend(groups(p.inputFiles())) or plain(p, s))
+    data = [(f"p{i}", i, json.dumps(observations(i, 1))) for i in range(500)]
+    pipeline.ingest(spark, root, "metar", spark.createDataFrame(data, "page_id string, captured_at bigint, payload string").coalesce(1), "r1")
+    stored = groups(lake.scan_bronze(spark, root, "metar").inputFiles())
+    assert sum(held) == sum(stored) == 500 and max(held) <= 32 and max(stored) <= 32
+
+
+def test_archive_moves_texts_once_and_keeps_each_page_once(spark, tmp_path, monkeypatch):
+    root, plans = str(tmp_path), []
+    frame = lambda data: spark.createDataFrame(data, "source string, page_id string, captured_at bigint, payload string")
+    hour = 3_600_000
+    first = [("s", "a", 1, "x"), ("s", "a", 2, "x"), ("s", "a", 3, "y"), ("s", None, 4, None), ("s", None, 5, None), ("s", "b", None, "x"), ("s", "c", 6, "z")]
+    second = [*first[:4], ("s", "a", hour, "x"), ("s", "d", 7, "x"), ("s", "d", 8, "x"), ("s", "e", 9, "z")]
+    kept = lambda: sorted((r.page_id or "", r.payload or "", r.hh or "") for r in spark.read.schema(lake.BRONZE_SCHEMA).parquet(f"{root}/bronze").collect())
+    lake.archive(frame(first), root)
+    stored = [("", "", "00"), ("a", "x", "00"), ("a", "y", "00"), ("b", "x", ""), ("c", "z", "00")]
+    assert kept() == sorted(stored)
+    for _ in range(2):  # the second time every page is held already
+        lake.archive(frame(second), root)
+        assert kept() == sorted([*stored, ("a", "x", "01"), ("d", "x", "00"), ("e", "z", "00")])
+    write = DataFrameWriter.parquet
+    monkeypatch.setattr(DataFrameWriter, "parquet", lambda self, path, *a, **b: plans.append((path, self._df._jdf.queryExecution().optimizedPlan().toString())) or write(self, path, *a, **b))
+    lake.archive(frame([("s", "f", 10, "new")]), root)
+    written = next(plan for path, plan in plans if path == f"{root}/bronze")
+    assert written.count("Repartition") + written.count("Rebalance") == 1 and "Aggregate" not in written and len(kept()) == 9
+
+
 def test_failed_run_is_noted(spark, tmp_path, monkeypatch):
     def broken(_):
         raise ValueError("bad parser")
